@@ -59,8 +59,8 @@ class PieceCounts(dict):
 
     def frequencies(self, text: str) -> Counter:
         """The text's pre-tokens, as the model takes them, with their frequencies."""
-        if self.plain and not self.outside(text):
-            plain = Counter(self.plain(text.lower()))
+        if self.plain and not self.outside(text) and not self.outside(lower := text.lower()):
+            plain = Counter(self.plain(lower))
             if text.isascii() and not self.control(text):
                 return plain
             return Counter({self.as_bytes(word): n for word, n in plain.items()})
