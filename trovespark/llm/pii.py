@@ -20,6 +20,7 @@ from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructField, StructType
 from trovespark.frames import pick
 
 KINDS = ("email", "ip", "card", "phone")
@@ -349,4 +350,5 @@ def redact_batches(batches: Iterator[pa.RecordBatch], text_at: int, n_chars_at:
 def redact(docs: DataFrame) -> DataFrame:
     """The same rows and columns with every span of `text` replaced by its kind, and n_chars counted again."""
     names = docs.columns
-    return docs.mapInArrow(lambda batches: redact_batches(batches, names.index("text"), names.index("n_chars") if "n_chars" in names else -1), docs.schema)
+    schema = StructType([StructField(f.name, f.dataType) for f in docs.schema])
+    return docs.mapInArrow(lambda batches: redact_batches(batches, names.index("text"), names.index("n_chars") if "n_chars" in names else -1), schema)
