@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from trovespark.llm import bytebpe, mixing, pii, tokencount
+from trovespark.llm import bytebpe, langid, mixing, pii, tokencount
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.label(table(spark, sf_dir, "documents"), parts=4, part=2)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
 
@@ -30,7 +34,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op4_pii, op8_byte_bpe, op10_mixing)}
+    return {f.__name__: f for f in (op1_language_id, op2_token_counts, op4_pii, op8_byte_bpe, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
