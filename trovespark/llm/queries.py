@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from trovespark.llm import bytebpe, langid, mixing, pii, tokencount
+from trovespark.llm import bytebpe, htmltext, langid, mixing, pii, tokencount
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -34,7 +38,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_token_counts, op4_pii, op8_byte_bpe, op10_mixing)}
+    return {f.__name__: f for f in (op1_language_id, op2_token_counts, op4_pii, op6_html_text, op8_byte_bpe, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
