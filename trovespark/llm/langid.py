@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 from trovespark.frames import pick
 
 #: Hash buckets for n-grams of one, two, three and four characters.
@@ -251,6 +252,23 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     return rows.mapInArrow(lambda batches: _predict(batches, sent), "doc_id bigint, lang_pred string, score double, ambiguous boolean")
 
 
+def _relabel(batches: Iterator[pa.RecordBatch], sent, text_at: int, lang_at: int) -> Iterator[pa.RecordBatch]:
+    model = sent.value
+    for batch in batches:
+        means, count = score([t or "" for t in batch.column(text_at).to_pylist()], model.weights)
+        names = [model.languages[i] if n else UNKNOWN for i, n in zip(model.decode(means)[0], count)]
+        yield batch.set_column(lang_at, batch.schema.field(lang_at), pa.array(names, pa.string()))
+
+
+def label_rows(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of `docs` with `lang` set to the predicted one (`und` as in `predict`); no shuffle."""
+    if model is None:
+        return docs.withColumn("lang", F.lit(UNKNOWN))
+    sent, names = docs.sparkSession.sparkContext.broadcast(model), docs.columns
+    schema = StructType([StructField(f.name, f.dataType) for f in docs.schema])
+    return docs.mapInArrow(lambda b: _relabel(b, sent, names.index("text"), names.index("lang")), schema)
+
+
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
     """Whether crc32 of the id as text leaves `part` on division by `parts`; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts == part

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
-from trovespark.llm import bytebpe, htmltext, langid, mixing, pii, tokencount
+from trovespark.llm import bytebpe, htmltext, langid, mixing, pii, setsketch, tokencount
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +30,10 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages"))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -38,7 +43,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_token_counts, op4_pii, op6_html_text, op8_byte_bpe, op10_mixing)}
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_language_id, op2_token_counts, op4_pii, op6_html_text, op7_near_duplicates, op8_byte_bpe, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
