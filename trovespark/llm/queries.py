@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
-from trovespark.llm import bytebpe, htmltext, langid, mixing, pii, setsketch, tokencount
+from trovespark.llm import bytebpe, htmltext, langid, mixing, pii, setsketch, spotsigs, tokencount
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,12 +38,16 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edit_report(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_language_id, op2_token_counts, op4_pii, op6_html_text, op7_near_duplicates, op8_byte_bpe, op10_mixing)}
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_language_id, op2_token_counts, op4_pii, op6_html_text, op7_near_duplicates, op8_byte_bpe, op9_spotsigs, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
