@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
-from trovespark.llm import bytebpe, htmltext, langid, mixing, pii, setsketch, spotsigs, tokencount
+from trovespark.llm import bytebpe, hnsw, htmltext, langid, mixing, pii, setsketch, spotsigs, tokencount
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages"))
 
@@ -47,7 +51,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_language_id, op2_token_counts, op4_pii, op6_html_text, op7_near_duplicates, op8_byte_bpe, op9_spotsigs, op10_mixing)}
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_language_id, op2_token_counts, op4_pii, op5_nearest, op6_html_text, op7_near_duplicates, op8_byte_bpe, op9_spotsigs, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
