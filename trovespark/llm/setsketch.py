@@ -37,7 +37,7 @@ REGISTERS = ROWS * BANDS
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
 #: An estimate so many standard deviations below the threshold is taken for unlike (chance of a wrong one: 3e-5).
 DEVIATIONS = 4.0
-SMALL = 32
+SMALL = 8
 BLOCK_BYTES = 24 << 20
 #: Ids up to this many are broadcast to fetch their documents; more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
