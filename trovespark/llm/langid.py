@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
-from trovespark.frames import pick
+from trovespark.frames import pick, slices
 
 #: Hash buckets for n-grams of one, two, three and four characters.
 BUCKETS = (1 << 12, 1 << 14, 1 << 15, 1 << 15)
@@ -32,7 +32,7 @@ MIX = np.uint32(0x9E3779B1)
 UNKNOWN = "und"
 #: A margin of distances below which the two nearest codewords count as equally near.
 AMBIGUOUS = 0.02
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 
 @cache
@@ -172,7 +172,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _means(batches: Iterator[pa.RecordBatch], weights) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         means, count = score([t or "" for t in batch.column(1).to_pylist()], weights.value)
         kept = np.flatnonzero(count > 0)
         yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(kept)), pa.array(list(means[kept]), pa.list_(pa.float64()))], ["lang", "means"])
@@ -229,7 +229,7 @@ def fit(labelled: DataFrame, per_language: int = 1000, most_texts: int = 20_000)
 
 def _predict(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
     model = sent.value
-    for batch in batches:
+    for batch in slices(batches):
         texts = [t or "" for t in batch.column(1).to_pylist()]
         means, count = score(texts, model.weights)
         best, share, near = model.decode(means)
@@ -254,7 +254,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def _relabel(batches: Iterator[pa.RecordBatch], sent, text_at: int, lang_at: int) -> Iterator[pa.RecordBatch]:
     model = sent.value
-    for batch in batches:
+    for batch in slices(batches):
         means, count = score([t or "" for t in batch.column(text_at).to_pylist()], model.weights)
         names = [model.languages[i] if n else UNKNOWN for i, n in zip(model.decode(means)[0], count)]
         yield batch.set_column(lang_at, batch.schema.field(lang_at), pa.array(names, pa.string()))

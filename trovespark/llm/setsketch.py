@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from trovespark.frames import materialise, pick, release
+from trovespark.frames import materialise, pick, release, slices
 from trovespark.llm.components import components
 from trovespark.llm.words import mixed, shingles, word_numbers
 
@@ -123,7 +123,7 @@ def _sets(texts: list[str | None], width: int) -> list[np.ndarray]:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         found = _sets(batch.column(1).to_pylist(), width)
         keys = [bands(registers(s)) if len(s) else [] for s in found]
         names = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in found]
@@ -131,7 +131,7 @@ def _sketches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
 
 
 def _full(batches: Iterator[pa.RecordBatch], width: int, short: bool) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         found = _sets(batch.column(1).to_pylist(), width)
         sketches = [registers(s).tobytes() if short else b"" for s in found]
         stored = [(np.unique((s >> np.uint64(32)).astype(np.uint32)) if short else s).tobytes() for s in found]
@@ -150,7 +150,7 @@ def _rows(column: pa.Array, kind: type) -> np.ndarray:
 
 
 def _screen(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, 2000):
         a, b = _rows(batch.column(2), np.uint16), _rows(batch.column(3), np.uint16)
         fits = hopeful(a, b, batch.column(4).to_numpy(), batch.column(5).to_numpy(), percent)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(fits))

@@ -8,12 +8,11 @@ its length. Two words of one corpus of a billion different ones share a number w
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 
 BASE = 0x9E3779B97F4A7C15 | 1
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 _BYTES = np.arange(256)
 SEPARATOR = np.isin(_BYTES, [32, *range(9, 14)])
@@ -29,10 +28,18 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@cache
+_known: list[tuple[np.ndarray, np.ndarray]] = []
+
+
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = pow(BASE, -1, 1 << 64)
-    return tuple(np.cumprod(np.r_[np.uint64(1), np.full(size, b, np.uint64)]) for b in (BASE, inverse))
+    """At least `size` powers of BASE and of its inverse; the longest so far are kept unless they are very long."""
+    if _known and len(_known[0][0]) >= size:
+        return _known[0]
+    size = 1 << max(19, (size - 1).bit_length())
+    made = tuple(np.cumprod(np.r_[np.uint64(1), np.full(size - 1, b, np.uint64)]) for b in (BASE, pow(BASE, -1, 1 << 64)))
+    if size <= 1 << 21:
+        _known[:] = [made]
+    return made
 
 
 def word_numbers(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -43,7 +50,7 @@ def word_numbers(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         separator = SEPARATOR[bytes_]
         edges = np.flatnonzero(separator[1:] != separator[:-1]) + 1
         begin, end = edges[0::2], edges[1::2]
-        power, inverse = _powers(1 << (len(raw) - 1).bit_length())
+        power, inverse = _powers(len(raw))
         sums = np.cumsum(VALUE[bytes_] * power[: len(raw)])
         numbers.append(mixed((sums[end - 1] - sums[begin - 1]) * inverse[begin] + (end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
         counts[first + 1 : upto + 1] = np.diff(np.searchsorted(begin, starts))
