@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
-from trovespark.llm import bytebpe, hnsw, htmltext, langid, mixing, pii, setsketch, spotsigs, tokencount
+from trovespark.llm import bytebpe, hnsw, hpylm, htmltext, langid, mixing, pii, setsketch, spotsigs, tokencount
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
 
 
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hpylm.score(table(spark, sf_dir, "documents"), parts=5, part=1)
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
@@ -51,7 +55,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_language_id, op2_token_counts, op4_pii, op5_nearest, op6_html_text, op7_near_duplicates, op8_byte_bpe, op9_spotsigs, op10_mixing)}
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_language_id, op2_token_counts, op3_lm_scores, op4_pii, op5_nearest, op6_html_text, op7_near_duplicates, op8_byte_bpe, op9_spotsigs, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
