@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -29,11 +30,22 @@ def pick(df: DataFrame, **wanted: str) -> DataFrame:
     return plain.select(*chosen)
 
 
+def tidy() -> None:
+    """Gives memory that a Python worker has freed back to the system. Workers live on after a task, side by side with
+    others', and would otherwise each keep the most they ever used."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most `rows`, so that what is worked out from a batch stays small."""
+    """The same rows in batches of at most `rows`, so that what is worked out from a batch stays small; tidies up at the
+    end."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    tidy()
 
 
 def shared_dir(spark: SparkSession) -> str:
