@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from trovespark.frames import materialise, pick, release
+from trovespark.frames import materialise, pick, release, slices
 from trovespark.llm.langid import held_out
 from trovespark.llm.words import word_numbers
 
@@ -46,9 +46,23 @@ PARTS = "part int, words binary, counts binary, cells_of binary, context binary,
 CELLS = ["part", "words", "counts", "cells_of", "context", "n", "tables", "weight", "parent", "parent_weight", "table_sum", "root_sum"]
 
 
+def pack(values: np.ndarray) -> bytes:
+    """An array as bytes: its bytes by place, compressed. Counts and places mostly have empty high bytes."""
+    plain = np.ascontiguousarray(values)
+    planes = plain.view(np.uint8).reshape(-1, plain.itemsize).T.tobytes()
+    return len(planes).to_bytes(8, "little") + (pa.compress(planes, codec="zstd", asbytes=True) if planes else b"")
+
+
+def unpack(raw: bytes, kind: type) -> np.ndarray:
+    size = int.from_bytes(raw[:8], "little")
+    planes = pa.decompress(raw[8:], decompressed_size=size, codec="zstd", asbytes=True) if size else b""
+    item = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(item, -1).T).view(kind).reshape(-1)
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     base, made = TaskContext.get().partitionId() << 32, 0
-    for batch in batches:
+    for batch in slices(batches, 2000):
         ids, held, texts = batch.column(0).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint8), batch.column(2).to_pylist()
         at = 0
         while at < len(texts):
@@ -67,7 +81,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rank = np.empty(len(order), np.uint32)
             rank[order] = np.arange(len(order), dtype=np.uint32)
             local = rank[place]
-            row = [base + made, ids[at:upto], held[at:upto].tobytes(), np.r_[0, ends + 1].astype(np.int64).tobytes(), words[order].tobytes(), (local & 0xFFFF).astype(np.uint16).tobytes(), (local >> 16).astype(np.uint16).tobytes()]
+            row = [base + made, ids[at:upto], held[at:upto].tobytes(), np.r_[0, ends + 1].astype(np.int64).tobytes(), words[order].tobytes(), pack((local & 0xFFFF).astype(np.uint16)), pack((local >> 16).astype(np.uint16))]
             names = [c.split()[0] for c in BLOCKS.split(", ")]
             kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 5]
             yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
@@ -85,7 +99,7 @@ class Block:
 
     @classmethod
     def read(cls, row) -> Block:
-        low, high = np.frombuffer(row["low"], np.uint16), np.frombuffer(row["high"], np.uint16)
+        low, high = unpack(row["low"], np.uint16), unpack(row["high"], np.uint16)
         return cls(np.frombuffer(row["words"], np.uint64), low.astype(np.int64) | high.astype(np.int64) << 16, np.frombuffer(row["starts"], np.int64), np.frombuffer(row["held"], np.uint8) > 0)
 
     def trained(self) -> np.ndarray:
@@ -112,9 +126,8 @@ def context_of(words: np.ndarray, heads: np.ndarray) -> np.ndarray:
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            yield {name: batch.column(j)[i].as_py() for j, name in enumerate(batch.schema.names)}
+    for batch in slices(batches, 1):
+        yield {name: batch.column(j)[0].as_py() for j, name in enumerate(batch.schema.names)}
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -152,17 +165,17 @@ def _ask(batches: Iterator[pa.RecordBatch], heads, parts: int) -> Iterator[pa.Re
             a, b, c, d = word_cut[p], word_cut[p + 1], pair_cut[p], pair_cut[p + 1]
             if a < b:
                 own, cells = by_part[a:b], by_pair[c:d]
-                yield _batch([(p, row["block"], block.words[own].tobytes(), per_word[own].tobytes(), context[cells].tobytes(), n[cells].tobytes())], ASK)
+                yield _batch([(p, row["block"], block.words[own].tobytes(), pack(per_word[own]), pack(context[cells]), pack(n[cells]))], ASK)
 
 
 def _join(column: pd.Series, kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(column), kind)
+    return np.concatenate([unpack(x, kind) for x in column]) if len(column) else np.zeros(0, kind)
 
 
 def _part(group: pd.DataFrame) -> pd.DataFrame:
     """One part: the union of what blocks ask, with training counts, and where each block's words and pairs are in it."""
     group = group.sort_values("block", kind="stable")
-    asked, per_word = _join(group["words"], np.uint64), _join(group["per_word"], np.uint32)
+    asked, per_word = np.frombuffer(b"".join(group["words"]), np.uint64), _join(group["per_word"], np.uint32)
     words, word_place = np.unique(asked, return_inverse=True)
     key = np.repeat(word_place, per_word).astype(np.int64) << 16 | _join(group["context"], np.uint16)
     cells, cell_place = np.unique(key, return_inverse=True)
@@ -172,11 +185,11 @@ def _part(group: pd.DataFrame) -> pd.DataFrame:
     cells, n = cells[seen], n[seen]
     counts = np.bincount(cells >> 16, weights=n, minlength=len(words)).astype(np.int64)
     cells_of = np.searchsorted(cells >> 16, np.arange(len(words) + 1)).astype(np.int64)
-    sizes = np.array([[b, len(w) // 8, len(c) // 2] for b, w, c in zip(group["block"], group["words"], group["context"])], np.int64)
+    sizes = np.array([[b, len(w) // 8, int.from_bytes(c[:8], "little") // 2] for b, w, c in zip(group["block"], group["words"], group["context"])], np.int64)
     zeros, one = np.zeros(len(cells), np.float32), np.minimum(n, 1).astype(np.uint32)
     parent = np.diff(cells_of) > 0
     row = (int(group["part"].iloc[0]), words, counts, cells_of, (cells & 0xFFFF).astype(np.uint16), n.astype(np.uint32), one, zeros, parent.astype(np.uint32), np.zeros(len(words), np.float32), np.zeros(len(cells), np.uint32), np.zeros(len(words), np.float64), sizes, word_place.astype(np.uint32), number[cell_place])
-    return pd.DataFrame([[row[0], *(a.tobytes() for a in row[1:])]], columns=[c.split()[0] for c in PARTS.split(", ")])
+    return pd.DataFrame([[row[0], *map(pack, row[1:])]], columns=[c.split()[0] for c in PARTS.split(", ")])
 
 
 @cache
@@ -251,7 +264,7 @@ class Rooms:
 
 def _cells(row: dict) -> dict:
     kinds = {"words": np.uint64, "counts": np.int64, "cells_of": np.int64, "context": np.uint16, "n": np.uint32, "tables": np.uint32, "weight": np.float32, "parent": np.uint32, "parent_weight": np.float32, "table_sum": np.uint32, "root_sum": np.float64}
-    return {k: np.frombuffer(row[k], v) for k, v in kinds.items() if k in row} | {"part": row["part"]}
+    return {k: unpack(row[k], v) for k, v in kinds.items() if k in row} | {"part": row["part"]}
 
 
 def _sweep(batches: Iterator[pa.RecordBatch], rooms, number: int, count_it: bool) -> Iterator[pa.RecordBatch]:
@@ -266,10 +279,10 @@ def _sweep(batches: Iterator[pa.RecordBatch], rooms, number: int, count_it: bool
         tables, weight = seat(c["n"].astype(np.int64), opens, c["tables"].astype(np.uint32), c["weight"].astype(float), now.discount, rng)
         arrived = np.bincount(word, weights=tables, minlength=len(c["words"])).astype(np.int64)
         parent, parent_weight = seat(arrived, np.full(len(arrived), now.fresh), np.minimum(np.maximum(c["parent"], arrived > 0), arrived).astype(np.uint32), c["parent_weight"] * 0.0, now.root_discount, rng)
-        out = row | {"tables": tables.astype(np.uint32).tobytes(), "weight": weight.astype(np.float32).tobytes(), "parent": parent.astype(np.uint32).tobytes(), "parent_weight": parent_weight.astype(np.float32).tobytes()}
+        out = row | {"tables": pack(tables.astype(np.uint32)), "weight": pack(weight.astype(np.float32)), "parent": pack(parent.astype(np.uint32)), "parent_weight": pack(parent_weight.astype(np.float32))}
         if count_it:
-            out["table_sum"] = (c["table_sum"] + tables).astype(np.uint32).tobytes()
-            out["root_sum"] = (c["root_sum"] + now.root(arrived.astype(float), parent.astype(float))).tobytes()
+            out["table_sum"] = pack((c["table_sum"] + tables).astype(np.uint32))
+            out["root_sum"] = pack(c["root_sum"] + now.root(arrived.astype(float), parent.astype(float)))
         yield _batch([tuple(out[k] for k in CELLS)], "part int, " + ", ".join(f"{k} binary" for k in CELLS[1:]))
 
 
@@ -311,12 +324,12 @@ def _answers(batches: Iterator[pa.RecordBatch], discount: float, samples: int, u
         c = _cells(row)
         root = np.where(c["counts"] > 0, c["root_sum"] / samples, unknown).astype(np.float32)
         stay = np.r_[(c["n"] - discount * c["table_sum"] / samples), 0.0].astype(np.float32)
-        words, cells = np.frombuffer(row["word_places"], np.uint32), np.frombuffer(row["cell_places"], np.uint32)
+        words, cells = unpack(row["word_places"], np.uint32), unpack(row["cell_places"], np.uint32)
         cells = np.minimum(cells, len(stay) - 1)
         a = b = 0
-        for block, n_words, n_cells in np.frombuffer(row["blocks"], np.int64).reshape(-1, 3):
+        for block, n_words, n_cells in unpack(row["blocks"], np.int64).reshape(-1, 3):
             w, k = words[a : a + n_words], cells[b : b + n_cells]
-            yield _batch([(int(block), c["part"], c["counts"][w].astype(np.uint64).tobytes(), root[w].tobytes(), stay[k].tobytes())], ANSWER)
+            yield _batch([(int(block), c["part"], pack(c["counts"][w].astype(np.uint64)), pack(root[w]), pack(stay[k]))], ANSWER)
             a, b = a + n_words, b + n_cells
 
 
@@ -326,11 +339,11 @@ SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base
 
 def _prepare(batches: Iterator[pa.RecordBatch], heads, parts: int) -> Iterator[pa.RecordBatch]:
     """Blocks with each word's part and context in place of the word."""
-    for batch in batches:
+    for batch in slices(batches, 8):
         words = [np.frombuffer(w, np.uint64) for w in batch.column("words").to_pylist()]
         columns = [batch.column(n) for n in ("block", "doc_ids", "held", "starts", "low", "high")]
-        columns.append(pa.array([(w % np.uint64(parts)).astype(np.uint32).tobytes() for w in words], pa.binary()))
-        columns.append(pa.array([context_of(w, heads.value).astype(np.uint16).tobytes() for w in words], pa.binary()))
+        columns.append(pa.array([pack((w % np.uint64(parts)).astype(np.uint32)) for w in words], pa.binary()))
+        columns.append(pa.array([pack(context_of(w, heads.value).astype(np.uint16)) for w in words], pa.binary()))
         yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in ASKED.split(", ")])
 
 
@@ -338,7 +351,7 @@ def _score(asked: pd.DataFrame, answers: pd.DataFrame, rooms, total: int) -> pd.
     now: Rooms = rooms.value
     answers, out = answers.sort_values("part", kind="stable"), []
     for row in asked.to_dict("records"):
-        part, of_word = np.frombuffer(row["part_of"], np.uint32).astype(np.int64), np.frombuffer(row["context_of"], np.uint16).astype(np.int64)
+        part, of_word = unpack(row["part_of"], np.uint32).astype(np.int64), unpack(row["context_of"], np.uint16).astype(np.int64)
         block = Block.read(row | {"words": b""})
         pairs, place = block.pairs(of_word)
         by_word, by_pair = np.argsort(part, kind="stable"), np.argsort(part[pairs >> 16], kind="stable")
