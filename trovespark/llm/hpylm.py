@@ -416,3 +416,10 @@ def score(docs: DataFrame, parts: int = 5, part: int = 1, share: float = SHARE,
     out = materialise(scored, "lm-scores")
     release(blocks, model, now)
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"), "base_score", "score")
+
+
+def perplexity(scores: DataFrame) -> DataFrame:
+    """held_out, n_tokens and perplexity a token of the model and of the base, from `score`'s rows."""
+    total = scores.groupBy("held_out").agg(*(F.sum(c).alias(c) for c in ("n_tokens", "score", "base_score")))
+    power = lambda c: F.pow(F.lit(10.0), -F.col(c) / F.col("n_tokens"))
+    return total.select("held_out", "n_tokens", power("score").alias("perplexity"), power("base_score").alias("base_perplexity"))
