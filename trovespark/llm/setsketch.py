@@ -163,7 +163,11 @@ def _verify(batches: Iterator[pa.RecordBatch], percent: int, kind: type, slack:
 
 
 def _compare(group: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Links between the members of two blocks of a bucket: enough to connect what the pairs dealt with here connect."""
+    """Links between the members of two blocks of a bucket: enough to connect what the pairs dealt with here connect.
+
+    What verified links connect comes as a star around its smallest id, so that the buckets of one group of copies give
+    much the same rows; pairs that are still open come as they are.
+    """
     first_block, second_block = int(group["first"].iloc[0]), int(group["second"].iloc[0])
     group = group.sort_values("id", kind="stable").reset_index(drop=True)
     sketch = np.frombuffer(b"".join(group.registers), np.uint16).reshape(len(group), REGISTERS)
@@ -196,9 +200,12 @@ def _compare(group: pd.DataFrame, percent: int) -> pd.DataFrame:
     out, ids = [], group.id.to_numpy()
     for _, i, j in sorted(found):
         if top(i) != top(j) and (said := verdict(sets[i], sets[j], percent, SLACK)):
-            out.append((ids[i], ids[j], said))
             if said == 1:
-                root[top(i)] = top(j)
+                i, j = top(i), top(j)
+                root[max(i, j)] = min(i, j)
+            else:
+                out.append((ids[i], ids[j], said))
+    out += [(ids[top(i)], ids[i], 1) for i in range(len(ids)) if top(i) != i]
     return pd.DataFrame(out, columns=["a", "b", "said"]).astype({"a": "int64", "b": "int64", "said": "int32"})
 
 
