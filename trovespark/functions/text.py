@@ -8,7 +8,7 @@ from trovespark.functions.ids import blank_to_null, strip
 
 WORD = r"[\p{L}\p{N}]+"
 #: Letters, an optional dash, digits: product and gene codes.
-CODE = r"\b([A-Za-z]{2,12})\s*[-–]?\s*(\d{2,})\b"
+CODE = r"(?<![\p{L}\p{N}_])([A-Za-z]{2,12})\s*[-–]?\s*(\d{2,})(?![\p{L}\p{N}_])"
 # Question openings that a feedback seed goes without, the first that fits.
 OPENINGS = (
     r"what\s+is", r"what\s+are", r"what\s+was", r"what\s+were", r"what\s+does", r"which\s+(?:is|are)", r"when\s+(?:is|was)", r"how\s+many", r"list", r"describe", r"define",

@@ -51,8 +51,10 @@ def _(f):
     return f.chunks().groupBy(ids.parent(F.col("docno")).alias("docno")).agg(F.count(F.lit(1)).alias("n"))
 
 
-CODES = r"""SELECT docno, text, list_transform(list_zip(regexp_extract_all(text, '\b([A-Za-z]{2,12})\s*[-–]?\s*(\d{2,})\b', 1), regexp_extract_all(text, '\b([A-Za-z]{2,12})\s*[-–]?\s*(\d{2,})\b', 2)), lambda z: CASE WHEN length(z[2]) >= 5
-    THEN list_concat([lower(z[1])], list_concat(regexp_extract_all(z[2], '.{1,4}'), [lower(z[1]) || ' ' || array_to_string(regexp_extract_all(z[2], '.{1,4}'), ' ')])) ELSE [lower(z[1]), z[2], lower(z[1]) || z[2], lower(z[1]) || '-' || z[2], lower(z[1]) || ' ' || z[2]] END) c FROM corpus"""
+# Words are marked at both ends, for the oracle's word boundaries know ASCII alone
+_CODE = r"'\x01([A-Za-z]{2,12})(?:\x02\s*[-–]?\s*\x01)?(\d{2,})\x02'"
+CODES = rf"""SELECT docno, text, list_transform(list_zip(regexp_extract_all(m, {_CODE}, 1), regexp_extract_all(m, {_CODE}, 2)), lambda z: CASE WHEN length(z[2]) >= 5 THEN list_concat([lower(z[1])], list_concat(regexp_extract_all(z[2], '.{{1,4}}'), [lower(z[1]) || ' ' || array_to_string(regexp_extract_all(z[2], '.{{1,4}}'), ' ')]))
+    ELSE [lower(z[1]), z[2], lower(z[1]) || z[2], lower(z[1]) || '-' || z[2], lower(z[1]) || ' ' || z[2]] END) c FROM (SELECT docno, text, regexp_replace(text, '([\p{{L}}\p{{N}}_]+)', chr(1) || '\1' || chr(2), 'g') m FROM corpus)"""
 
 
 @register("augment_codes_index", "SELECT docno, md5(CASE WHEN len(flatten(c)) > 0 THEN text || chr(10) || chr(10) || array_to_string(list_sort(list_distinct(flatten(c))), ' ') ELSE text END) h, len(list_distinct(flatten(c))) n FROM codes", codes=CODES)
