@@ -24,7 +24,7 @@ from itertools import chain
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from trovespark.frames import pick
+from trovespark.frames import pick, slices
 
 #: The ASCII form of the usual splitting pattern. It gives the same pieces on ASCII texts and is found by a faster engine.
 ASCII_FORM = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
@@ -51,7 +51,7 @@ class PrefixBpe:
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._right: dict[int, list[tuple[int, int]]] = {}
         self._left: dict[int, list[tuple[int, int]]] = {}
-        self._fits: dict[tuple[int, int], bool] = {}
+        self._fits: dict[int, bool] = {}
 
     def halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes `token`, (-1, -1) for a single byte, None if merges never make it."""
@@ -79,7 +79,8 @@ class PrefixBpe:
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether `left` then `right` is the encoding of their joined bytes."""
-        known = self._fits.get((left, right))
+        pair = left << 32 | right
+        known = self._fits.get(pair)
         if known is None:
             if left not in self._right:
                 self._right[left] = self._edges(left, 1)
@@ -91,9 +92,9 @@ class PrefixBpe:
                     rank = joins.get((a, b))
                     if rank is not None and rank < a_until and rank <= b_until:
                         known = False
-            if len(self._fits) > 2_000_000:
+            if len(self._fits) >= 500_000:
                 self._fits.clear()  # bounded memory; only speed depends on it
-            self._fits[left, right] = known
+            self._fits[pair] = known
         return known
 
     def append(self, piece: bytes, last: list[int], more: bytes, old: list[int] = (), same_from: int = 0) -> list[int]:
@@ -200,7 +201,7 @@ def coder(path: str) -> PrefixBpe:
 class _Pieces(dict):
     """Ids of each distinct piece as little-endian bytes; emptied when full, which costs only time."""
 
-    FULL = 400_000
+    FULL = 200_000
 
     def __init__(self, bpe: PrefixBpe):
         self.bpe = bpe
@@ -223,7 +224,7 @@ def encode_batches(batches: Iterator[pa.RecordBatch], path: str, pattern: str, w
     bpe, pieces = coder(path), _pieces(path)
     full = regex.compile(pattern).findall
     quick = ASCII_FORM.findall if pattern == FULL_FORM else full
-    for batch in batches:
+    for batch in slices(batches, 1000):
         counts, id_sums, text_sums, all_ids = [], [], [], []
         for value in batch.column(1):
             text = value.as_py() or ""

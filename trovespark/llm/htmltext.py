@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from trovespark.frames import materialise, pick, release
+from trovespark.frames import materialise, pick, release, slices
 
 # HTML's element classes, and words by which pages name what isn't their article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -244,7 +244,7 @@ def host_of(url: Column) -> Column:
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, 1000):
         hosts, hashes, bodies = [], [], []
         for name, source in zip(batch.column(0), batch.column(1)):
             page, host = Page(source.as_py() or ""), name.as_py()
@@ -273,7 +273,7 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, 1000):
         texts, held, last = [], frozenset(), None
         for source, own in zip(batch.column(2), batch.column(3)):
             own = own.as_py() or ()

@@ -21,7 +21,7 @@ from functools import cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructField, StructType
-from trovespark.frames import pick
+from trovespark.frames import pick, slices
 
 KINDS = ("email", "ip", "card", "phone")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -314,7 +314,7 @@ def redacted(text: str, found: list[tuple[int, int, int]]) -> str:
 
 def find_batches(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", *(["redacted"] if with_text else [])]
-    for batch in batches:
+    for batch in slices(batches, 1000):
         rows = []
         for value in batch.column(1):
             text = value.as_py()
@@ -338,7 +338,7 @@ def find(docs: DataFrame, with_text: bool = False) -> DataFrame:
 
 
 def redact_batches(batches: Iterator[pa.RecordBatch], text_at: int, n_chars_at: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, 1000):
         texts = [value.as_py() for value in batch.column(text_at)]
         new = [t and redacted(t, spans(t)[1]) for t in texts]
         batch = batch.set_column(text_at, batch.schema.field(text_at), pa.array(new, pa.string()))

@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, pre_tokenizers
-from trovespark.frames import pick
+from trovespark.frames import pick, slices
 
 #: The splitting pattern of lower-casing word tokenizers, for which texts of Latin letters have a faster way.
 WORD_FORM = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -36,7 +36,7 @@ def _plain_split() -> Callable[[str], list[str]]:
 class PieceCounts(dict):
     """Pre-token to number of pieces, filled on demand; emptied when full, which costs only time."""
 
-    FULL = 600_000
+    FULL = 300_000
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
@@ -84,7 +84,7 @@ def _counts(path: str) -> PieceCounts:
 
 def count_batches(batches: Iterator[pa.RecordBatch], path: str, limit: int) -> Iterator[pa.RecordBatch]:
     counts = _counts(path)
-    for batch in batches:
+    for batch in slices(batches, 1000):
         texts = [value.as_py() or "" for value in batch.column(1)]
         tokens = list(map(counts.count, texts))
         sizes = [len(t.encode()) for t in texts]
