@@ -115,9 +115,9 @@ def grouped_bm25(items: DataFrame, group: list[str], item: str, query: Column, t
     whole = Window.partitionBy(*group)
     rows = rows.withColumn("_full", (F.size("_t") > 0).cast("int"))
     rows = rows.withColumn("_n", F.sum("_full").over(whole)).withColumn("_avg", F.sum(F.size("_t")).over(whole) / F.greatest("_n", F.lit(1)))
-    wanted = rows.select(*group, item, "_n", "_avg", F.size("_t").alias("_dl"), "_t", F.explode("_q").alias("_term"))
-    tf = F.size(F.filter("_t", lambda w: w == F.col("_term")))
-    hits = wanted.withColumn("_tf", tf).where("_tf > 0").drop("_t").groupBy(*group, item, "_n", "_avg", "_dl", "_term", "_tf").agg(F.count(F.lit(1)).alias("_w"))
+    met = rows.withColumn("_term", F.explode(F.array_intersect("_q", "_t")))
+    times = lambda words: F.size(F.filter(words, lambda w: w == F.col("_term")))
+    hits = met.select(*group, item, "_n", "_avg", F.size("_t").alias("_dl"), "_term", times("_t").alias("_tf"), times("_q").alias("_w"))
     hits = hits.withColumn("_df", F.count(F.lit(1)).over(Window.partitionBy(*group, "_term")))
     one = part(F.col("_w"), F.col("_n"), F.col("_df"), F.col("_tf"), F.col("_dl"), F.col("_avg"), k1, b)
     scores = hits.groupBy(*group, item).agg(F.round(F.sum(one), 6).alias("bm25"))
