@@ -20,7 +20,8 @@ def components(links: DataFrame) -> DataFrame:
         before = state
         both = now.union(now.select("b", "a"))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        up = now.select(F.col("b").alias("a"), F.col("a").alias("far"))  # each link once, from its smaller end
+        large = up.join(low, "a").select(F.col("far").alias("a"), F.col("low").alias("b"))
         large = large.where("a != b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("low").alias("b")), F.struct(F.col("a"), F.col("low").alias("b")))).alias("e"))

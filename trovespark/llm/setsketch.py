@@ -41,8 +41,6 @@ SMALL = 8
 BLOCK_BYTES = 24 << 20
 #: Ids up to this many are broadcast to fetch their documents; more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
-#: Verified on 32-bit shingles, a pair is decided unless a few collisions could change it; the rest see all 64 bits.
-SLACK = 4
 
 
 @cache
@@ -110,11 +108,10 @@ def hopeful(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray
     return fits
 
 
-def verdict(a: np.ndarray, b: np.ndarray, percent: int, slack: int) -> int:
-    """1 if the sorted sets' Jaccard reaches the threshold, 0 if not, -1 if a change of `slack` in the overlap decides."""
+def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets' Jaccard reaches the threshold, exactly."""
     both = len(np.intersect1d(a, b, assume_unique=True))
-    gap = 100 * both - percent * (len(a) + len(b) - both)
-    return -1 if abs(gap) <= slack * (100 + percent) and slack else int(gap >= 0)
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
 
 def _sets(texts: list[str | None], width: int) -> list[np.ndarray]:
@@ -130,19 +127,18 @@ def _sketches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(names, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n", "set_id", "bands"])
 
 
-def _full(batches: Iterator[pa.RecordBatch], width: int, short: bool) -> Iterator[pa.RecordBatch]:
+def _full(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         found = _sets(batch.column(1).to_pylist(), width)
-        sketches = [registers(s).tobytes() if short else b"" for s in found]
-        stored = [(np.unique((s >> np.uint64(32)).astype(np.uint32)) if short else s).tobytes() for s in found]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(sketches, pa.binary()), pa.array(stored, pa.binary())], ["id", "n", "registers", "shingles"])
+        columns = [[len(s) for s in found], [registers(s).tobytes() for s in found], [s.tobytes() for s in found]]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.binary(), pa.binary())))], ["id", "n", "registers", "shingles"])
 
 
-def _full_sets(docs: DataFrame, ids: DataFrame, width: int, short: bool) -> DataFrame:
+def _full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """id, n, registers, shingles of the documents with these ids, from their whole texts."""
     few = ids.count() <= BROADCAST_IDS
     chosen = docs.join(F.broadcast(ids) if few else ids, docs.doc_id == ids.id, "left_semi")
-    return chosen.mapInArrow(lambda b: _full(b, width, short), "id bigint, n bigint, registers binary, shingles binary")
+    return chosen.mapInArrow(lambda b: _full(b, width), "id bigint, n bigint, registers binary, shingles binary")
 
 
 def _rows(column: pa.Array, kind: type) -> np.ndarray:
@@ -156,17 +152,17 @@ def _screen(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(fits))
 
 
-def _verify(batches: Iterator[pa.RecordBatch], percent: int, kind: type, slack: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        said = [verdict(np.frombuffer(x.as_py(), kind), np.frombuffer(y.as_py(), kind), percent, slack) for x, y in zip(batch.column(2), batch.column(3))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(said, pa.int32())], ["a", "b", "said"]).filter(pa.array([s != 0 for s in said], pa.bool_()))
+def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, 2000):
+        said = [linked(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), percent) for x, y in zip(batch.column(2), batch.column(3))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(said, pa.bool_()))
 
 
 def _compare(group: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Links between the members of two blocks of a bucket: enough to connect what the pairs dealt with here connect.
 
     What verified links connect comes as a star around its smallest id, so that the buckets of one group of copies give
-    much the same rows; pairs that are still open come as they are.
+    much the same rows.
     """
     first_block, second_block = int(group["first"].iloc[0]), int(group["second"].iloc[0])
     group = group.sort_values("id", kind="stable").reset_index(drop=True)
@@ -188,7 +184,7 @@ def _compare(group: pd.DataFrame, percent: int) -> pd.DataFrame:
         likeness = estimate((x > y).sum(1).astype(float), (x < y).sum(1).astype(float), np.full(len(others), float(size[i])), size[others].astype(float))
         keep = likeness >= floor
         found += zip(-likeness[keep], np.full(keep.sum(), i), others[keep])
-    sets = [np.frombuffer(s, np.uint32) for s in group.shingles]
+    sets = [np.frombuffer(s, np.uint64) for s in group.shingles]
     root = list(range(len(group)))
 
     def top(i: int) -> int:
@@ -197,16 +193,13 @@ def _compare(group: pd.DataFrame, percent: int) -> pd.DataFrame:
             i = root[i]
         return i
 
-    out, ids = [], group.id.to_numpy()
+    ids = group.id.to_numpy()
     for _, i, j in sorted(found):
-        if top(i) != top(j) and (said := verdict(sets[i], sets[j], percent, SLACK)):
-            if said == 1:
-                i, j = top(i), top(j)
-                root[max(i, j)] = min(i, j)
-            else:
-                out.append((ids[i], ids[j], said))
-    out += [(ids[top(i)], ids[i], 1) for i in range(len(ids)) if top(i) != i]
-    return pd.DataFrame(out, columns=["a", "b", "said"]).astype({"a": "int64", "b": "int64", "said": "int32"})
+        if top(i) != top(j) and linked(sets[i], sets[j], percent):
+            i, j = top(i), top(j)
+            root[max(i, j)] = min(i, j)
+    out = [(ids[top(i)], ids[i]) for i in range(len(ids)) if top(i) != i]
+    return pd.DataFrame(out, columns=["a", "b"]).astype({"a": "int64", "b": "int64"})
 
 
 def _paired(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
@@ -231,36 +224,29 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     classes = named.groupBy("set_id").agg(F.min("doc_id").alias("rep"))
     member = materialise(named.select("doc_id", "n", "set_id").distinct().join(classes, "set_id").select("doc_id", "n", "set_id", "rep"), "members")
     own = member.where("doc_id = rep").select("rep", "set_id")
-    keys = named.join(own, (named.doc_id == own.rep) & (named.set_id == own.set_id)).select("rep", "n", F.posexplode("bands").alias("band", "key")).distinct()
-    keys = materialise(keys, "bands")
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.sum(F.col("n") * 4 + REGISTERS * 2).alias("bytes")).where("many > 1")
-    buckets = materialise(keys.join(shared, "key").select(F.col("rep").alias("id"), "band", "key", "many", "bytes"), "buckets")
+    one = named.join(own, (named.doc_id == own.rep) & (named.set_id == own.set_id)).select("rep", "n", "bands").distinct()
+    keys = materialise(one.select("rep", "n", F.posexplode("bands").alias("band", "key")), "bands")
+    keys_by = keys.repartition("key")  # dealt once, for the counts and for the rows that they pick
+    shared = keys_by.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.sum(F.col("n") * 8 + REGISTERS * 2).alias("bytes")).where("many > 1")
+    buckets = materialise(keys_by.join(shared, "key").select(F.col("rep").alias("id"), "band", "key", "many", "bytes"), "buckets")
     release(keys)
-    sets = materialise(_full_sets(rows, buckets.select("id").distinct(), width, True), "sets")
+    sets = materialise(_full_sets(rows, buckets.select("id").distinct(), width), "sets")
 
     small = buckets.where(F.col("many") <= SMALL).select("key", "id")
     pairs = small.select("key", F.col("id").alias("a")).join(small.select("key", F.col("id").alias("b")), "key").where("a < b").select("a", "b").distinct()
     hopes = _paired(pairs, sets, "registers", "n").mapInArrow(lambda b: _screen(b, percent), "a bigint, b bigint")
-    found = _paired(hopes, sets, "shingles").mapInArrow(lambda b: _verify(b, percent, np.uint32, SLACK), "a bigint, b bigint, said int")
+    found = _paired(hopes, sets, "shingles").mapInArrow(lambda b: _verify(b, percent), "a bigint, b bigint")
 
     blocks = F.ceil(F.col("bytes") / BLOCK_BYTES).cast("int")
     large = buckets.where(F.col("many") > SMALL).withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
     large = large.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     large = large.select("key", "band", "id", "block", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second")).join(sets, "id")
-    more = large.groupBy("key", "first", "second").applyInPandas(lambda g: _compare(g, percent), "a bigint, b bigint, said int")
-
-    links = materialise(found.union(more), "near-links")
-    open_ = links.where("said < 0").select("a", "b").distinct()
-    if not open_.isEmpty():
-        exact = materialise(_full_sets(rows, open_.select(F.col("a").alias("id")).union(open_.select("b")).distinct(), width, False), "full-sets")
-        sure = materialise(_paired(open_, exact, "shingles").mapInArrow(lambda b: _verify(b, percent, np.uint64, 0), "a bigint, b bigint, said int"), "sure-links")
-        release(exact)
-    else:
-        sure = links.limit(0)
+    more = large.groupBy("key", "first", "second").applyInPandas(lambda g: _compare(g, percent), "a bigint, b bigint")
+
     several = member.groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
     same = member.join(several, "doc_id").select(F.col("low").alias("a"), F.col("rep").alias("b"))
-    joined = components(links.where("said > 0").select("a", "b").union(sure.select("a", "b")).union(same))
-    release(links, sure, buckets, sets)
+    joined = components(found.union(more).union(same))
+    release(buckets, sets)
     labels = member.select("doc_id", "rep").groupBy("doc_id").agg(F.min("rep").alias("rep"))
     labels = labels.join(joined, labels.rep == joined.node, "left").select(F.col("doc_id").alias("_doc"), F.coalesce("component", "rep").alias("_component"))
     out = sketches.join(labels, sketches.doc_id == labels._doc, "left")
