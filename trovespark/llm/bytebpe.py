@@ -52,6 +52,7 @@ class PrefixBpe:
         self._right: dict[int, list[tuple[int, int]]] = {}
         self._left: dict[int, list[tuple[int, int]]] = {}
         self._fits: dict[int, bool] = {}
+        self._fits_before: dict[int, bool] = {}
 
     def halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes `token`, (-1, -1) for a single byte, None if merges never make it."""
@@ -81,6 +82,9 @@ class PrefixBpe:
         """Whether `left` then `right` is the encoding of their joined bytes."""
         pair = left << 32 | right
         known = self._fits.get(pair)
+        if known is not None:
+            return known
+        known = self._fits_before.get(pair)
         if known is None:
             if left not in self._right:
                 self._right[left] = self._edges(left, 1)
@@ -92,9 +96,9 @@ class PrefixBpe:
                     rank = joins.get((a, b))
                     if rank is not None and rank < a_until and rank <= b_until:
                         known = False
-            if len(self._fits) >= 500_000:
-                self._fits.clear()  # bounded memory; only speed depends on it
-            self._fits[pair] = known
+        if len(self._fits) >= 250_000:  # bounded memory; what is still in use comes back from the part before
+            self._fits, self._fits_before = {}, self._fits
+        self._fits[pair] = known
         return known
 
     def append(self, piece: bytes, last: list[int], more: bytes, old: list[int] = (), same_from: int = 0) -> list[int]:
@@ -199,17 +203,21 @@ def coder(path: str) -> PrefixBpe:
 
 
 class _Pieces(dict):
-    """Ids of each distinct piece as little-endian bytes; emptied when full, which costs only time."""
+    """Ids of each distinct piece as little-endian bytes. When full, its entries become the part before; those still in
+    use come back from there, the others go. Only speed depends on it."""
 
-    FULL = 200_000
+    FULL = 120_000
 
     def __init__(self, bpe: PrefixBpe):
-        self.bpe = bpe
+        self.bpe, self.before = bpe, {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = array("I", self.bpe.encode_piece(piece.encode())).tobytes()
+        ids = self.before.get(piece)
+        if ids is None:
+            ids = array("I", self.bpe.encode_piece(piece.encode())).tobytes()
         if len(piece) <= 64:
             if len(self) >= self.FULL:
+                self.before = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
