@@ -34,3 +34,18 @@ def test_odd_rows(spark):
     assert sorted((r.doc_id or 0, r.n_tokens) for r in got) == sorted((d or 0, expected(t or "")) for d, t in rows)
     assert {r.doc_id: r.over_limit for r in got}[4] and {r.doc_id: r.n_bytes for r in got}[2] == 0
     assert tokencount.count_tokens(df.limit(0), PATH).count() == 0
+
+
+UNTOUCHED = Tokenizer.from_file(PATH)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|startoftext|>", "<|endoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "'s", " ", "\n", "the", "é", "\u0301", "世"]), max_size=8).map("".join))
+def test_special_strings_count_as_in_the_library_by_default(text):
+    assert COUNTS.count(text) == len(UNTOUCHED.encode(text, add_special_tokens=False).ids)
+
+
+def test_special_strings_in_rows(spark):
+    df = spark.createDataFrame([(1, "a <|startoftext|> b"), (2, "<|endoftext|>"), (3, "<|endoftext|>" * 2048)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_tokens, r.over_limit) for r in tokencount.count_tokens(df, PATH, 2048).collect()}
+    assert got == {1: (3, False), 2: (1, False), 3: (2048, False)}

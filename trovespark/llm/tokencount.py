@@ -1,7 +1,8 @@
 """Token counts from pre-token frequencies, without materialising ids.
 
-A tokenizer of this kind splits the normalised text into pre-tokens and never merges across them. So a text's count is
-the sum, over its distinct pre-tokens, of frequency times pieces. Each block of rows is turned into per-document
+A tokenizer of this kind takes its added tokens (special strings) out of the text, one token each, splits the normalised
+rest into pre-tokens and never merges across them. So a text's count is the number of its added tokens and the sum, over
+its distinct pre-tokens, of frequency times pieces. Each block of rows is turned into per-document
 pre-token frequencies; each pre-token that a worker has not met is counted once by the library's model; the two are
 joined in memory on the pre-token and summed. Nothing is shuffled: a table of all pre-tokens joined to the frequencies of
 all documents would move more bytes than the texts hold, only to save a few microseconds for each worker and pre-token.
@@ -40,7 +41,11 @@ class PieceCounts(dict):
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        added = self.library.get_added_tokens_decoder().values()
+        longest_first = sorted((t.content for t in added), key=len, reverse=True)
+        self.added = re.compile("|".join(map(re.escape, longest_first))) if longest_first else None
+        #: Whether added tokens are found in the text as it is; those with other rules are left to the library.
+        self.literal = not any(t.normalized or t.single_word or t.lstrip or t.rstrip for t in added)
         self.bytelevel = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         split = self.library.pre_tokenizer
         self.plain = _plain_split() if WORD_FORM.replace("\\", "\\\\") in open(path, encoding="utf-8").read() else None
@@ -73,7 +78,17 @@ class PieceCounts(dict):
     __hash__ = object.__hash__
 
     def count(self, text: str) -> int:
-        frequencies = self.frequencies(text)
+        if not self.literal:
+            return len(self.library.encode(text, add_special_tokens=False))
+        if not self.added or not self.added.search(text):
+            return self._count(self.frequencies(text))
+        rest = self.added.split(text)
+        frequencies = Counter()
+        for part in filter(None, rest):
+            frequencies.update(self.frequencies(part))
+        return len(rest) - 1 + self._count(frequencies)
+
+    def _count(self, frequencies: Counter) -> int:
         return sum(map(mul, frequencies.values(), map(self.__getitem__, frequencies)))
 
 
