@@ -103,3 +103,18 @@ def test_seating_has_the_right_distribution(monkeypatch, exact):
     assert np.abs(got - want).max() < 0.012
     ones = H.seat(np.ones(5, int), np.full(5, 0.1), np.ones(5, np.uint32), np.zeros(5), d, rng)[0]
     assert (ones == 1).all()
+
+
+def test_rare_words_are_contexts_of_their_own(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    held = [zlib.crc32(str(i).encode()) % 5 == 1 for i in range(4000)]
+    free, probes = [i for i in range(4000) if not held[i]], [i for i in range(4000) if held[i]]
+    rare = [f"r{k} s{k}" for k in range(100)]
+    train = [*rare * 4, *(chain_text(rng, 30_000) for _ in range(4))]  # each rare word is under 1/10,000 of all tokens
+    asked = [*rare, *(f"r{k} s{(k + 1) % 100}" for k in range(100))]
+    rows = list(zip(free, train)) + list(zip(probes, asked))
+    for size in (H.PART_WORDS, 50):
+        monkeypatch.setattr(H, "PART_WORDS", size)
+        got = {r.doc_id: r.score for r in H.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+        scores = np.array([got[i] for i in probes[:200]])
+        assert (scores[:100] > scores[100:] + 1).all()

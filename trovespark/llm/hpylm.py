@@ -1,10 +1,9 @@
 """Hierarchical Pitman-Yor language model over words, trained on all texts and scoring all texts.
 
 Restaurants. Each context has a restaurant whose dishes are the words that follow it; all of them share one parent, the
-unigram restaurant, whose base is uniform over the vocabulary and one unknown word. A word is a context of its own if it
-is at least `share` of all tokens (so there are at most 1/share contexts, a proven bound for what the driver and
-broadcasts hold); all rarer words are one context, and so is the begin of a text. A table in a context's restaurant is a
-customer of the parent's.
+unigram restaurant, whose base is uniform over the vocabulary and one unknown word. Every word of the training texts is a
+context of its own, however rare; the end of a text stands for the begin of the next as a context. A table in a context's
+restaurant is a customer of the parent's. A context has as many customers as its word has training tokens.
 
 Seating. For each restaurant and dish the state is the number of tables. A Gibbs sweep draws it anew given everything
 else: exactly, from generalised Stirling numbers, up to `EXACT` customers; beyond, a seating is drawn customer by customer
@@ -12,15 +11,16 @@ else: exactly, from generalised Stirling numbers, up to `EXACT` customers; beyon
 each other's totals as of the sweep before. After burn-in, predictive probabilities are averaged over the sweeps.
 
 Layout. Texts become token blocks once. Words are dealt to parts by hash; one part has all that is known of a word: its
-cells in every context's restaurant and its dish at the parent. So a sweep is local to a part but for one number of tables
-for each context. Blocks ask the parts for their words and pairs, and each gets its answers back in order. Hashes stand
-for words (64 bits).
+cells in every context's restaurant and its dish at the parent. A context belongs to the part of its word. Before each
+sweep parts tell the contexts' owners of the tables they have there and get the totals back, so no table of contexts is on
+the driver or broadcast. Blocks ask the parts for their words and pairs, and each gets its answers back in order. Hashes
+stand for words (64 bits).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import cache
 
 import numpy as np
@@ -33,17 +33,18 @@ from trovespark.frames import materialise, pick, release, slices
 from trovespark.llm.langid import held_out
 from trovespark.llm.words import word_numbers
 
-#: Tokens in a block (a longer text is a block of its own), words in a part, and the smallest share of a context.
-BLOCK_TOKENS, PART_WORDS, SHARE = 1_000_000, 200_000, 1e-4
-#: The begin of a text and all rarer words, as contexts; the end of a text, as a token.
-BEGIN, RARE, END = 0, 1, np.uint64(0x1F0E_D0C0_FFEE_0001)
+#: Tokens in a block (a longer text is a block of its own) and words in a part.
+BLOCK_TOKENS, PART_WORDS = 1_000_000, 200_000
+#: The end of a text as a token, its begin as a context.
+END = np.uint64(0x1F0E_D0C0_FFEE_0001)
+LOW = (1 << 32) - 1
 EXACT = 24
 STRENGTH, ROOT_STRENGTH = 5.0, 10.0
 BURN_IN, SAMPLES = 2, 3
 
 BLOCKS = "block bigint, doc_ids array<bigint>, held binary, starts binary, words binary, low binary, high binary"
-PARTS = "part int, words binary, counts binary, cells_of binary, context binary, n binary, tables binary, weight binary, parent binary, parent_weight binary, table_sum binary, root_sum binary, blocks binary, word_places binary, cell_places binary"
-CELLS = ["part", "words", "counts", "cells_of", "context", "n", "tables", "weight", "parent", "parent_weight", "table_sum", "root_sum"]
+PARTS = "part int, words binary, counts binary, cells_of binary, contexts binary, context binary, n binary, tables binary, weight binary, parent binary, parent_weight binary, table_sum binary, root_sum binary, blocks binary, word_places binary, cell_places binary"
+CELLS = ["part", "counts", "cells_of", "contexts", "context", "n", "tables", "weight", "parent", "parent_weight", "table_sum", "root_sum"]
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -105,24 +106,10 @@ class Block:
     def trained(self) -> np.ndarray:
         return np.repeat(~self.held, np.diff(self.starts))
 
-    def contexts(self, of_word: np.ndarray) -> np.ndarray:
-        """The context of each token, `of_word` giving the context that each local word makes."""
-        out = np.empty(len(self.tokens), np.int64)
-        out[1:] = of_word[self.tokens[:-1]]
-        out[self.starts[:-1]] = BEGIN
-        return out
-
-    def pairs(self, of_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct (word, context) pairs as word << 16 | context, sorted, and each token's place in them."""
-        return np.unique(self.tokens << 16 | self.contexts(of_word), return_inverse=True)
-
-
-def context_of(words: np.ndarray, heads: np.ndarray) -> np.ndarray:
-    """The context that each word makes; `heads` are the sorted numbers of words that are contexts of their own."""
-    if not len(heads):
-        return np.full(len(words), RARE, np.int64)
-    at = np.minimum(np.searchsorted(heads, words), len(heads) - 1)
-    return np.where(heads[at] == words, at + 2, RARE)
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct (word, context) pairs as word << 32 | context, sorted, and each token's place in them. A token's
+        context is the token before it, which at the begin of a text is an end (for the first one the block's last)."""
+        return np.unique(self.tokens << 32 | np.roll(self.tokens, 1), return_inverse=True)
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -137,26 +124,23 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], [n for n, _ in fields])
 
 
-def _frequent(batches: Iterator[pa.RecordBatch], share: float) -> Iterator[pa.RecordBatch]:
-    """(word, count) of words frequent in their block; word null: tokens and words of the block."""
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Training tokens and words of each block."""
     for row in _rows(batches):
-        block = Block.read(row)
-        count = np.bincount(block.tokens[block.trained()], minlength=len(block.words))
-        often = np.flatnonzero(count >= max(1.0, share / 2 * count.sum()))
-        out = [(int(w), int(c), 0) for w, c in zip(block.words[often].astype(np.int64), count[often])]
-        yield _batch([*out, (None, int(count.sum()), len(block.words))], "word bigint, n bigint, words bigint")
+        held, starts = np.frombuffer(row["held"], np.uint8) > 0, np.frombuffer(row["starts"], np.int64)
+        yield _batch([(int(np.diff(starts)[~held].sum()), len(row["words"]) // 8)], "n bigint, words bigint")
 
 
 ASK = "part int, block bigint, words binary, per_word binary, context binary, n binary"
 
 
-def _ask(batches: Iterator[pa.RecordBatch], heads, parts: int) -> Iterator[pa.RecordBatch]:
+def _ask(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
     """What a block asks each part: its words, how many pairs each has, and the pairs' contexts and training counts."""
     for row in _rows(batches):
         block = Block.read(row)
-        pairs, place = block.pairs(context_of(block.words, heads.value))
+        pairs, place = block.pairs()
         n = np.bincount(place[block.trained()], minlength=len(pairs)).astype(np.uint32)
-        word, context = pairs >> 16, (pairs & 0xFFFF).astype(np.uint16)
+        word, context = pairs >> 32, block.words[pairs & LOW]
         per_word = np.bincount(word, minlength=len(block.words)).astype(np.uint32)
         part = (block.words % np.uint64(parts)).astype(np.int64)
         by_part, by_pair = np.argsort(part, kind="stable"), np.argsort(part[word], kind="stable")
@@ -165,30 +149,37 @@ def _ask(batches: Iterator[pa.RecordBatch], heads, parts: int) -> Iterator[pa.Re
             a, b, c, d = word_cut[p], word_cut[p + 1], pair_cut[p], pair_cut[p + 1]
             if a < b:
                 own, cells = by_part[a:b], by_pair[c:d]
-                yield _batch([(p, row["block"], block.words[own].tobytes(), pack(per_word[own]), pack(context[cells]), pack(n[cells]))], ASK)
+                yield _batch([(p, row["block"], block.words[own].tobytes(), pack(per_word[own]), context[cells].tobytes(), pack(n[cells]))], ASK)
 
 
 def _join(column: pd.Series, kind: type) -> np.ndarray:
     return np.concatenate([unpack(x, kind) for x in column]) if len(column) else np.zeros(0, kind)
 
 
-def _part(group: pd.DataFrame) -> pd.DataFrame:
-    """One part: the union of what blocks ask, with training counts, and where each block's words and pairs are in it."""
+def _part(group: pd.DataFrame, parts: int) -> pd.DataFrame:
+    """One part: the union of what blocks ask, with training counts, and where each block's words and pairs are in it.
+    Its contexts are in order of their owners."""
     group = group.sort_values("block", kind="stable")
     asked, per_word = np.frombuffer(b"".join(group["words"]), np.uint64), _join(group["per_word"], np.uint32)
     words, word_place = np.unique(asked, return_inverse=True)
-    key = np.repeat(word_place, per_word).astype(np.int64) << 16 | _join(group["context"], np.uint16)
+    contexts, context_place = np.unique(np.frombuffer(b"".join(group["context"]), np.uint64), return_inverse=True)
+    key = np.repeat(word_place, per_word).astype(np.int64) << 32 | context_place
     cells, cell_place = np.unique(key, return_inverse=True)
     n = np.bincount(cell_place, weights=_join(group["n"], np.uint32), minlength=len(cells)).astype(np.int64)
     seen = n > 0
     number = np.where(seen, np.cumsum(seen) - 1, np.iinfo(np.uint32).max).astype(np.uint32)
     cells, n = cells[seen], n[seen]
-    counts = np.bincount(cells >> 16, weights=n, minlength=len(words)).astype(np.int64)
-    cells_of = np.searchsorted(cells >> 16, np.arange(len(words) + 1)).astype(np.int64)
-    sizes = np.array([[b, len(w) // 8, int.from_bytes(c[:8], "little") // 2] for b, w, c in zip(group["block"], group["words"], group["context"])], np.int64)
+    counts = np.bincount(cells >> 32, weights=n, minlength=len(words)).astype(np.int64)
+    cells_of = np.searchsorted(cells >> 32, np.arange(len(words) + 1)).astype(np.int64)
+    used, context = np.unique(cells & LOW, return_inverse=True)
+    contexts = contexts[used]
+    by_owner = np.argsort(contexts % np.uint64(parts), kind="stable")
+    rank = np.empty(len(contexts), np.uint32)
+    rank[by_owner] = np.arange(len(contexts), dtype=np.uint32)
+    sizes = np.array([[b, len(w) // 8, len(c) // 8] for b, w, c in zip(group["block"], group["words"], group["context"])], np.int64)
     zeros, one = np.zeros(len(cells), np.float32), np.minimum(n, 1).astype(np.uint32)
     parent = np.diff(cells_of) > 0
-    row = (int(group["part"].iloc[0]), words, counts, cells_of, (cells & 0xFFFF).astype(np.uint16), n.astype(np.uint32), one, zeros, parent.astype(np.uint32), np.zeros(len(words), np.float32), np.zeros(len(cells), np.uint32), np.zeros(len(words), np.float64), sizes, word_place.astype(np.uint32), number[cell_place])
+    row = (int(group["part"].iloc[0]), words, counts, cells_of, contexts[by_owner], rank[context], n.astype(np.uint32), one, zeros, parent.astype(np.uint32), np.zeros(len(words), np.float32), np.zeros(len(cells), np.uint32), np.zeros(len(words), np.float64), sizes, word_place.astype(np.uint32), number[cell_place])
     return pd.DataFrame([[row[0], *map(pack, row[1:])]], columns=[c.split()[0] for c in PARTS.split(", ")])
 
 
@@ -239,9 +230,9 @@ def _walk_in(n: np.ndarray, opens: np.ndarray, discount: float, rng: np.random.G
 
 @dataclass
 class Rooms:
-    """What all parts must know of each other: bounded by the number of contexts."""
+    """What all parts must know of each other: numbers. A task puts in the customers and tables of contexts at hand."""
 
-    customers: np.ndarray  # of each context's restaurant
+    customers: np.ndarray
     tables: np.ndarray
     words: int  # distinct training words
     root_customers: float
@@ -263,21 +254,62 @@ class Rooms:
 
 
 def _cells(row: dict) -> dict:
-    kinds = {"words": np.uint64, "counts": np.int64, "cells_of": np.int64, "context": np.uint16, "n": np.uint32, "tables": np.uint32, "weight": np.float32, "parent": np.uint32, "parent_weight": np.float32, "table_sum": np.uint32, "root_sum": np.float64}
+    kinds = {"words": np.uint64, "counts": np.int64, "cells_of": np.int64, "contexts": np.uint64, "context": np.uint32, "n": np.uint32, "tables": np.uint32, "weight": np.float32, "parent": np.uint32, "parent_weight": np.float32, "table_sum": np.uint32, "root_sum": np.float64}
     return {k: unpack(row[k], v) for k, v in kinds.items() if k in row} | {"part": row["part"]}
 
 
+TELL = "owner int, part int, contexts binary, tables binary"
+TOTALS = "part int, owner int, tables binary"
+OWNED = "part int, room binary, room_tables binary"
+
+
+def _tell(batches: Iterator[pa.RecordBatch], parts: int, column: str) -> Iterator[pa.RecordBatch]:
+    """What a part tells each owner of contexts: its contexts there and the tables it has in them."""
+    for row in _rows(batches):
+        c = _cells(row)
+        tables = np.bincount(c["context"], weights=c[column], minlength=len(c["contexts"])).astype(np.int64)
+        cut = np.searchsorted(c["contexts"] % np.uint64(parts), np.arange(parts + 1, dtype=np.uint64))
+        for owner, (a, b) in enumerate(zip(cut, cut[1:])):
+            if a < b:
+                yield _batch([(owner, c["part"], c["contexts"][a:b].tobytes(), pack(tables[a:b]))], TELL)
+
+
+def _owner(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An owner's contexts, their tables over all parts, and the place in them of each context told."""
+    contexts, place = np.unique(np.frombuffer(b"".join(group["contexts"]), np.uint64), return_inverse=True)
+    return contexts, np.bincount(place, weights=_join(group["tables"], np.int64), minlength=len(contexts)).astype(np.int64), place
+
+
+def _reply(group: pd.DataFrame) -> pd.DataFrame:
+    _, tables, place = _owner(group)
+    cut = np.cumsum([0, *(len(c) // 8 for c in group["contexts"])])
+    rows = [(int(p), int(o), pack(tables[place[a:b]])) for p, o, a, b in zip(group["part"], group["owner"], cut, cut[1:])]
+    return pd.DataFrame(rows, columns=["part", "owner", "tables"])
+
+
+def _own(group: pd.DataFrame) -> pd.DataFrame:
+    contexts, tables, _ = _owner(group)
+    return pd.DataFrame([(int(group["owner"].iloc[0]), contexts.tobytes(), pack(tables))], columns=["part", "room", "room_tables"])
+
+
+def _with_totals(cells: DataFrame, parts: int) -> DataFrame:
+    """The parts with `told`: for each owner in order the present tables of the part's contexts there."""
+    told = cells.select("part", "contexts", "context", "tables").mapInArrow(lambda b: _tell(b, parts, "tables"), TELL)
+    totals = told.groupBy("owner").applyInPandas(_reply, TOTALS)
+    return cells.join(totals.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("owner", "tables"))).alias("told")), "part", "left")
+
+
 def _sweep(batches: Iterator[pa.RecordBatch], rooms, number: int, count_it: bool) -> Iterator[pa.RecordBatch]:
-    now: Rooms = rooms.value
     for row in _rows(batches):
         c = _cells(row)
+        now: Rooms = replace(rooms.value, tables=_join([t["tables"] for t in row["told"] or ()], np.int64))
         rng = np.random.default_rng((number, c["part"]))
-        word = np.repeat(np.arange(len(c["words"])), np.diff(c["cells_of"]))
-        arrived = np.bincount(word, weights=c["tables"], minlength=len(c["words"]))
+        word = np.repeat(np.arange(len(c["counts"])), np.diff(c["cells_of"]))
+        arrived = np.bincount(word, weights=c["tables"], minlength=len(c["counts"]))
         root = now.root(arrived, c["parent"].astype(float))
         opens = (now.strength + now.discount * now.tables[c["context"]]) * root[word]
         tables, weight = seat(c["n"].astype(np.int64), opens, c["tables"].astype(np.uint32), c["weight"].astype(float), now.discount, rng)
-        arrived = np.bincount(word, weights=tables, minlength=len(c["words"])).astype(np.int64)
+        arrived = np.bincount(word, weights=tables, minlength=len(c["counts"])).astype(np.int64)
         parent, parent_weight = seat(arrived, np.full(len(arrived), now.fresh), np.minimum(np.maximum(c["parent"], arrived > 0), arrived).astype(np.uint32), c["parent_weight"] * 0.0, now.root_discount, rng)
         out = row | {"tables": pack(tables.astype(np.uint32)), "weight": pack(weight.astype(np.float32)), "parent": pack(parent.astype(np.uint32)), "parent_weight": pack(parent_weight.astype(np.float32))}
         if count_it:
@@ -286,42 +318,40 @@ def _sweep(batches: Iterator[pa.RecordBatch], rooms, number: int, count_it: bool
         yield _batch([tuple(out[k] for k in CELLS)], "part int, " + ", ".join(f"{k} binary" for k in CELLS[1:]))
 
 
-def _totals(batches: Iterator[pa.RecordBatch], contexts: int) -> Iterator[pa.RecordBatch]:
-    """For each context its customers and tables; as negative numbers: words, the root's customers and tables, and how
-    many cells and words have one and two customers."""
-    customers, tables, rest = np.zeros(contexts, np.int64), np.zeros(contexts, np.int64), np.zeros(7, np.int64)
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """By number: words, the root's customers and tables, and how many cells and words have one and two customers."""
+    rest = np.zeros(7, np.int64)
     for row in _rows(batches):
         c = _cells(row)
-        customers += np.bincount(c["context"], weights=c["n"], minlength=contexts).astype(np.int64)
-        tables += np.bincount(c["context"], weights=c["tables"], minlength=contexts).astype(np.int64)
         arrived = np.diff(c["cells_of"])
         found = ((c["counts"] > 0).sum(), c["tables"].sum(), c["parent"].sum(), (c["n"] == 1).sum(), (c["n"] == 2).sum(), (arrived == 1).sum(), (arrived == 2).sum())
         rest += np.array([int(x) for x in found], np.int64)
-    yield _batch([(i, int(a), int(b)) for i, (a, b) in enumerate(zip(customers, tables)) if a] + [(-1 - i, int(x), 0) for i, x in enumerate(rest)], "k int, a bigint, b bigint")
+    yield _batch([(i, int(x)) for i, x in enumerate(rest)], "k int, a bigint")
 
 
-def _gather(parts: DataFrame, contexts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    sums = parts.select("part", "counts", "cells_of", "context", "n", "tables", "parent").mapInArrow(lambda b: _totals(b, contexts), "k int, a bigint, b bigint")
-    customers, tables, rest = np.zeros(contexts), np.zeros(contexts), np.zeros(7)
-    for r in sums.groupBy("k").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect():
-        if r.k >= 0:
-            customers[r.k], tables[r.k] = r.a, r.b
-        else:
-            rest[-1 - r.k] = r.a
-    return customers, tables, rest
+def _gather(parts: DataFrame) -> np.ndarray:
+    sums = parts.select("part", "counts", "cells_of", "n", "tables", "parent").mapInArrow(_totals, "k int, a bigint")
+    rest = np.zeros(7)
+    for r in sums.groupBy("k").agg(F.sum("a").alias("a")).collect():
+        rest[r.k] = r.a
+    return rest
 
 
 def _discount(ones: float, twos: float) -> float:
     return float(np.clip(ones / (ones + 2 * twos), 0.1, 0.95)) if ones else 0.5
 
 
-ANSWER = "block bigint, part int, counts binary, root binary, stay binary"
+ANSWER = "block bigint, part int, counts binary, root binary, tables binary, stay binary"
 
 
 def _answers(batches: Iterator[pa.RecordBatch], discount: float, samples: int, unknown: float) -> Iterator[pa.RecordBatch]:
-    """For each block in order its words' counts and mean root probabilities, and its pairs' customers less discount."""
+    """For each block in order its words' counts, mean root probabilities and mean tables as contexts, and its pairs'
+    customers less discount."""
     for row in _rows(batches):
         c = _cells(row)
+        tables = np.zeros(len(c["words"]), np.float32)
+        if row["room"]:
+            tables[np.searchsorted(c["words"], np.frombuffer(row["room"], np.uint64))] = unpack(row["room_tables"], np.int64) / samples
         root = np.where(c["counts"] > 0, c["root_sum"] / samples, unknown).astype(np.float32)
         stay = np.r_[(c["n"] - discount * c["table_sum"] / samples), 0.0].astype(np.float32)
         words, cells = unpack(row["word_places"], np.uint32), unpack(row["cell_places"], np.uint32)
@@ -329,37 +359,37 @@ def _answers(batches: Iterator[pa.RecordBatch], discount: float, samples: int, u
         a = b = 0
         for block, n_words, n_cells in unpack(row["blocks"], np.int64).reshape(-1, 3):
             w, k = words[a : a + n_words], cells[b : b + n_cells]
-            yield _batch([(int(block), c["part"], pack(c["counts"][w].astype(np.uint64)), pack(root[w]), pack(stay[k]))], ANSWER)
+            yield _batch([(int(block), c["part"], pack(c["counts"][w].astype(np.uint64)), pack(root[w]), pack(tables[w]), pack(stay[k]))], ANSWER)
             a, b = a + n_words, b + n_cells
 
 
-ASKED = "block bigint, doc_ids array<bigint>, held binary, starts binary, low binary, high binary, part_of binary, context_of binary"
+ASKED = "block bigint, doc_ids array<bigint>, held binary, starts binary, low binary, high binary, part_of binary"
 SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
 
 
-def _prepare(batches: Iterator[pa.RecordBatch], heads, parts: int) -> Iterator[pa.RecordBatch]:
-    """Blocks with each word's part and context in place of the word."""
+def _prepare(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """Blocks with each word's part in place of the word."""
     for batch in slices(batches, 8):
         words = [np.frombuffer(w, np.uint64) for w in batch.column("words").to_pylist()]
         columns = [batch.column(n) for n in ("block", "doc_ids", "held", "starts", "low", "high")]
         columns.append(pa.array([pack((w % np.uint64(parts)).astype(np.uint32)) for w in words], pa.binary()))
-        columns.append(pa.array([pack(context_of(w, heads.value).astype(np.uint16)) for w in words], pa.binary()))
         yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in ASKED.split(", ")])
 
 
 def _score(asked: pd.DataFrame, answers: pd.DataFrame, rooms, total: int) -> pd.DataFrame:
-    now: Rooms = rooms.value
     answers, out = answers.sort_values("part", kind="stable"), []
     for row in asked.to_dict("records"):
-        part, of_word = unpack(row["part_of"], np.uint32).astype(np.int64), unpack(row["context_of"], np.uint16).astype(np.int64)
+        part = unpack(row["part_of"], np.uint32).astype(np.int64)
         block = Block.read(row | {"words": b""})
-        pairs, place = block.pairs(of_word)
-        by_word, by_pair = np.argsort(part, kind="stable"), np.argsort(part[pairs >> 16], kind="stable")
-        counts, root, stay = np.zeros(len(part)), np.zeros(len(part)), np.zeros(len(pairs))
+        pairs, place = block.pairs()
+        by_word, by_pair = np.argsort(part, kind="stable"), np.argsort(part[pairs >> 32], kind="stable")
+        counts, root, tables, stay = np.zeros(len(part)), np.zeros(len(part)), np.zeros(len(part)), np.zeros(len(pairs))
         counts[by_word], root[by_word] = _join(answers["counts"], np.uint64), _join(answers["root"], np.float32)
+        tables[by_word] = _join(answers["tables"], np.float32)
+        now: Rooms = replace(rooms.value, customers=counts, tables=tables)
         stay[by_pair] = _join(answers["stay"], np.float32)
-        context = pairs & 0xFFFF
-        log_p = np.log10((stay + (now.strength + now.discount * now.tables[context]) * root[pairs >> 16]) / (now.strength + now.customers[context]))[place]
+        context = pairs & LOW
+        log_p = np.log10((stay + (now.strength + now.discount * now.tables[context]) * root[pairs >> 32]) / (now.strength + now.customers[context]))[place]
         base = np.log10((counts + 0.5) / (total + 0.5 * (now.words + 1)))[block.tokens]
         first, n = block.starts[:-1], np.diff(block.starts)
         known = np.add.reduceat((counts > 0)[block.tokens].astype(np.int64), first)
@@ -367,7 +397,7 @@ def _score(asked: pd.DataFrame, answers: pd.DataFrame, rooms, total: int) -> pd.
     return pd.concat(out) if out else pd.DataFrame({c.split()[0]: [] for c in SCORED.split(", ")})
 
 
-def score(docs: DataFrame, parts: int = 5, part: int = 1, share: float = SHARE, burn_in: int = BURN_IN, samples: int = SAMPLES) -> DataFrame:
+def score(docs: DataFrame, parts: int = 5, part: int = 1, burn_in: int = BURN_IN, samples: int = SAMPLES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every whole text.
 
     Texts whose crc32(doc_id as text) leaves `part` on division by `parts` are held out; the model learns from all
@@ -380,38 +410,30 @@ def score(docs: DataFrame, parts: int = 5, part: int = 1, share: float = SHARE,
     rows = pick(docs, doc_id="bigint", text="string")
     rows = rows.select("doc_id", held_out(F.col("doc_id"), parts, part).alias("held"), "text")
     blocks = materialise(rows.mapInArrow(_blocks, BLOCKS), "token-blocks")
-    frequent = blocks.mapInArrow(lambda b: _frequent(b, share), "word bigint, n bigint, words bigint").groupBy("word").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
-    frequent = materialise(frequent, "frequent")
-    whole = frequent.where("word is null").select("n", "words").first()
-    total, asked_words = (int(whole.n), int(whole.words)) if whole else (0, 0)
-    often = frequent.where((F.col("n") >= max(1.0, share * total)) & F.col("word").isNotNull()).select("word").collect()
-    heads_now = np.sort(np.array([r.word for r in often], np.int64).astype(np.uint64))
-    heads_now = heads_now[heads_now != END][: (1 << 16) - 2]
-    release(frequent)
-    heads, deal = spark.sparkContext.broadcast(heads_now), max(1, -(-asked_words // PART_WORDS))
-    asks = blocks.mapInArrow(lambda b: _ask(b, heads, deal), ASK)
-    model = materialise(asks.groupBy("part").applyInPandas(_part, PARTS), "parts")
-
-    contexts = len(heads_now) + 2
-    now = cells = model.select(*CELLS)
-    customers, tables, rest = _gather(cells, contexts)
-    rooms = Rooms(customers, tables, int(rest[0]), float(rest[1]), float(rest[2]), _discount(rest[3], rest[4]), _discount(rest[5], rest[6]))
-    tables_sum = np.zeros(contexts)
+    whole = blocks.select("held", "starts", "words").mapInArrow(_sizes, "n bigint, words bigint").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).first()
+    total, asked_words = int(whole.n or 0), int(whole.words or 0)
+    deal = max(1, -(-asked_words // PART_WORDS))
+    asks = blocks.mapInArrow(lambda b: _ask(b, deal), ASK)
+    model = materialise(asks.groupBy("part").applyInPandas(lambda g: _part(g, deal), PARTS), "parts")
+
+    now = model.select(*CELLS)
+    rest, none = _gather(now), np.zeros(0)
+    rooms = Rooms(none, none, int(rest[0]), float(rest[1]), float(rest[2]), _discount(rest[3], rest[4]), _discount(rest[5], rest[6]))
     for i in range(burn_in + samples):
         sent = spark.sparkContext.broadcast(rooms)
-        new = materialise(now.mapInArrow(lambda b, s=sent, k=i: _sweep(b, s, k, k >= burn_in), "part int, " + ", ".join(f"{k} binary" for k in CELLS[1:])), "seats")
+        new = materialise(_with_totals(now, deal).mapInArrow(lambda b, s=sent, k=i: _sweep(b, s, k, k >= burn_in), "part int, " + ", ".join(f"{k} binary" for k in CELLS[1:])), "seats")
         release(now)
         now = new
-        _, rooms.tables, rest = _gather(now, contexts)
+        rest = _gather(now)
         rooms.root_customers, rooms.root_tables = float(rest[1]), float(rest[2])
-        tables_sum += rooms.tables * (i >= burn_in)
         sent.unpersist()
-    rooms.tables = tables_sum / samples
     unknown = float(rooms.root(np.zeros(1), np.zeros(1))[0])
-    final = now.select("part", "counts", "n", "table_sum", "root_sum").join(model.select("part", "blocks", "word_places", "cell_places"), "part")
+    told = now.select("part", "contexts", "context", "table_sum").mapInArrow(lambda b: _tell(b, deal, "table_sum"), TELL)
+    owned = told.groupBy("owner").applyInPandas(_own, OWNED)
+    final = now.select("part", "counts", "n", "table_sum", "root_sum").join(model.select("part", "words", "blocks", "word_places", "cell_places"), "part").join(owned, "part", "left")
     answers = final.mapInArrow(lambda b: _answers(b, rooms.discount, samples, unknown), ANSWER)
     sent = spark.sparkContext.broadcast(rooms)
-    prepared = blocks.mapInArrow(lambda b: _prepare(b, heads, deal), ASKED)
+    prepared = blocks.mapInArrow(lambda b: _prepare(b, deal), ASKED)
     scored = prepared.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(lambda a, b: _score(a, b, sent, total), SCORED)
     out = materialise(scored, "lm-scores")
     release(blocks, model, now)
