@@ -62,3 +62,15 @@ def test_recall_over_shards(spark):
     vectors = np.array([v for _, v in rows])
     hits = sum(len(got[q] & set((np.argsort(((vectors - vectors[q]) ** 2).sum(1), kind="stable")[1:11]).tolist())) for q in range(0, 4000, 100))
     assert hits / 400 >= 0.95
+
+
+def test_often_repeated_ids_hide_no_others(spark):
+    rng = np.random.default_rng(4)
+    spot = [1.0] * 8
+    rows = [(0, spot)] * 15 + [(i, spot) for i in range(1, 6)]  # the query's own id is the smallest and fills a node
+    rows += [(7, (np.ones(8) + 1e-3 * (j + 1) * np.eye(8)[j % 8]).tolist()) for j in range(400)]  # one id, many near vectors
+    rows += [(1000 + i, v.tolist()) for i, v in enumerate(clustered(rng, 300, 8))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [r.vec_id for r in hnsw.nearest(df.where("vec_id % 100 != 0 or vec_id = 0"), k=10).where("query_id = 0").orderBy("rank").collect()]
+    want = [i for _, i in brute([r for r in rows if r[0] % 100 or not r[0]], 10, 100)[0]]
+    assert got == want and len(set(got)) == 10

@@ -160,12 +160,11 @@ def usable(vector: Column) -> Column:
 
 
 def _build(group: pd.DataFrame) -> pd.DataFrame:
-    group = group.sort_values("vec_id", kind="stable")
     all_vectors = np.array(group.vector.tolist(), np.float64) + 0.0
     vectors, place = np.unique(all_vectors, axis=0, return_inverse=True)
-    by_node = np.argsort(place.reshape(-1), kind="stable")
-    ids = group.vec_id.to_numpy(np.int64)[by_node]
-    starts = np.searchsorted(place.reshape(-1)[by_node], np.arange(len(vectors) + 1)).astype(np.int32)
+    own = np.unique(np.stack([place.reshape(-1), group.vec_id.to_numpy(np.int64)], 1), axis=0)  # a node's distinct ids
+    ids = np.ascontiguousarray(own[:, 1])
+    starts = np.searchsorted(own[:, 0], np.arange(len(vectors) + 1)).astype(np.int32)
     graph = Graph.build(vectors, int(group.shard.iloc[0]))
     sizes = np.array([len(x) for x in graph.nodes[1:]], np.int32)
     nodes = np.concatenate([np.array([len(sizes)], np.int32), sizes, *graph.nodes[1:]]).astype(np.int32)
@@ -206,13 +205,19 @@ def _answer(index: pd.DataFrame, queries: pd.DataFrame, k: int, breadth: int) ->
     for row in index.itertuples():
         graph, ids, starts = read_graph(row)
         for query_id, vector in zip(queries.query_id, queries.vector):
-            query, found = np.asarray(vector, np.float64), []
-            for node in graph.search(query, max(breadth, 4 * k)):
-                gap = graph.vectors[node] - query
-                away = float(np.sqrt((gap * gap).sum()))
-                own = ids[starts[node] : min(starts[node + 1], starts[node] + k + 1)]
-                found += [(away, int(i)) for i in dict.fromkeys(own.tolist()) if i != query_id]
-            out += [(int(query_id), i, away) for away, i in sorted(found)[:k]]
+            query, wide = np.asarray(vector, np.float64), max(breadth, 4 * k)
+            while True:
+                found: dict[int, float] = {}
+                for node in graph.search(query, wide):
+                    gap = graph.vectors[node] - query
+                    away = float(np.sqrt((gap * gap).sum()))
+                    for i in ids[starts[node] : min(starts[node + 1], starts[node] + k + 1)].tolist():  # distinct: k others
+                        if i != query_id:
+                            found[i] = min(away, found.get(i, away))
+                if len(found) >= k or wide >= len(graph.vectors):
+                    break
+                wide *= 2
+            out += [(int(query_id), i, away) for away, i in sorted((away, i) for i, away in found.items())[:k]]
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
 
