@@ -63,3 +63,12 @@ def test_templates_go_and_copies_do_not_make_one(spark):
     texts = {i: t for i, _, t, _ in want}
     assert texts[3] == "story 3 of the day" and texts[105] == "Home News the same story All rights kept" and texts[200] == ""
     assert htmltext.extract(df.limit(0)).count() == 0
+
+
+def test_blocks_on_few_pages_of_a_large_host_go(spark):
+    menu = "<div><a href=/s>Section</a> one two</div>"
+    rows = [(i, f"http://big.example.com/{i}", site(i, f"story {i} of the day", menu if i < 6 else "")) for i in range(100)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for few in (htmltext.BROADCAST_HASHES, 0):
+        got = {r.page_id: r.text for r in htmltext.extract(df, broadcast_hashes=few).collect()}
+        assert got == {i: f"story {i} of the day" for i in range(100)}

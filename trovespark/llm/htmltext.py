@@ -41,10 +41,10 @@ TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
 END_OR_QUOTE = re.compile(r"[>\"']")
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
-#: A subtree is template from so many pages of its host on, and from that share of its host's pages.
-MIN_PAGES, MIN_SHARE = 5, 0.1
-#: Subtree hashes that may be broadcast; with more, pages and templates are joined by host and salt.
-BROADCAST_HASHES, SALTS = 500_000, 64
+#: A subtree is template from so many different pages of its host on, however many pages the host has.
+MIN_PAGES = 5
+#: Template hashes that may be broadcast; with more, each page is joined to its own ones.
+BROADCAST_HASHES = 500_000
 LINKS_FROM = 0.3
 
 
@@ -245,31 +245,32 @@ def host_of(url: Column) -> Column:
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, 1000):
-        hosts, hashes, bodies = [], [], []
-        for name, source in zip(batch.column(0), batch.column(1)):
+        hosts, hashes, bodies, sources = [], [], [], []
+        for name, source, number in zip(batch.column(0), batch.column(1), batch.column(2)):
             page, host = Page(source.as_py() or ""), name.as_py()
-            own = page.subtrees() | {0}  # 0 counts the page itself
+            own = page.subtrees()
             hosts += [host] * len(own)
             hashes += own
             bodies += [page.body - (1 << 63)] * len(own)
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(bodies, pa.int64())], ["host", "hash", "body"])
+            sources += [number.as_py()] * len(own)
+        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *(pa.array(c, pa.int64()) for c in (hashes, bodies, sources))], ["host", "hash", "body", "source"])
 
 
-def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """host and hashes: the subtrees that recur on at least min_pages pages, and that share of the pages, of the host.
+def source_of(html: Column) -> Column:
+    return F.xxhash64(F.coalesce(html, F.lit("")))
 
-    Counts pages with different bodies. A page adds its subtrees once each, so a host has at most its mean number of
-    subtrees a page divided by min_share hashes, whatever its size.
-    """
-    named = pick(pages, url="string", html="string").select(host_of(F.col("url")).alias("host"), "html")
-    rows = named.mapInArrow(_subtrees, "host string, hash bigint, body bigint")
-    counts = rows.distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
-    counts = materialise(counts.where(F.col("n") >= min_pages), "html-subtrees")
-    totals = counts.where("hash = 0").select("host", F.col("n").alias("pages"))
-    found = counts.where("hash != 0").join(totals, "host").where(F.col("n") >= min_share * F.col("pages"))
-    out = materialise(found.groupBy("host").agg(F.collect_list("hash").alias("hashes")), "html-templates")
-    release(counts)
-    return out
+
+def subtrees(pages: DataFrame) -> DataFrame:
+    """host, hash, body, source: the subtrees of every different page; a table to release."""
+    named = pick(pages, url="string", html="string").select(host_of(F.col("url")).alias("host"), "html", source_of(F.col("html")).alias("source"))
+    rows = named.mapInArrow(_subtrees, "host string, hash bigint, body bigint, source bigint")
+    return materialise(rows.distinct(), "html-subtrees")
+
+
+def templates(found: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """host and hash: the subtrees that recur on at least min_pages pages of the host with different bodies."""
+    counts = found.select("host", "hash", "body").distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
+    return materialise(counts.where(F.col("n") >= min_pages).select("host", "hash"), "html-templates")
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,20 +284,24 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, broadcast_hashes: int = BROADCAST_HASHES) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES, broadcast_hashes: int = BROADCAST_HASHES) -> DataFrame:
     """page_id, url, text (empty if none) and n_chars of every page.
 
     A null html counts as empty; a null url or one without a host belongs to host ''. Repeated rows give repeated rows,
-    an empty table none; other columns are left out whatever their names. The templates are broadcast if their counted
-    hashes are few enough; otherwise pages meet them by host and salt, so that no host's pages go to one task.
+    an empty table none; other columns are left out whatever their names. The templates are broadcast by host if they are
+    few enough; otherwise each page is joined to those that it holds, so that memory is bounded by a page's subtrees.
     """
     rows = pick(pages, page_id="bigint", url="string", html="string")
-    found = templates(rows, min_pages, min_share)
-    size = found.agg(F.sum(F.size("hashes"))).first()[0] or 0
+    there = subtrees(rows)
+    found = templates(there, min_pages)
     named = rows.withColumn("host", host_of(F.col("url")))
-    if size <= broadcast_hashes:
-        joined = named.join(F.broadcast(found), "host", "left")
+    if found.count() <= broadcast_hashes:
+        lists = found.groupBy("host").agg(F.collect_list("hash").alias("hashes"))
+        joined = named.join(F.broadcast(lists), "host", "left")
     else:
-        salted = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = named.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")).join(salted, ["host", "salt"], "left")
-    return joined.select("page_id", "url", "html", "hashes").mapInArrow(_texts, "page_id bigint, url string, text string, n_chars bigint")
+        own = there.select("host", "hash", "source").distinct().join(found, ["host", "hash"])
+        lists = materialise(own.groupBy("host", "source").agg(F.collect_list("hash").alias("hashes")), "html-page-templates")
+        joined = named.withColumn("source", source_of(F.col("html"))).join(lists, ["host", "source"], "left")
+    out = joined.select("page_id", "url", "html", "hashes").mapInArrow(_texts, "page_id bigint, url string, text string, n_chars bigint")
+    release(there)
+    return out
