@@ -79,3 +79,17 @@ def test_rows(spark):
     assert pii.find(df).count() == 5 and pii.find(df.limit(0)).count() == 0
     clean = pii.redact(pick(df, doc_id="bigint", text="string", n_chars="bigint")).collect()
     assert sorted((r.text or "", r.n_chars) for r in clean if r.text)[0] == ("<EMAIL>", 7)
+
+
+def test_bare_words_of_every_language():
+    for text in ("juan arroba ejemplo punto com", "hans bei beispiel punkt de", "john.doe at example.com", "jane at host dot online", "marie arobase exemple point fr", "juan arroba ejemplo.com"):
+        assert kinds(f"so: {text}, ok") == [("email", text)], text
+
+
+def test_bare_words_in_clean_prose():
+    for text in (
+        "We stopped at this point in time. Prices at example.com rose; visit us at example.org today.",
+        "Il passe chez le point de vente. Er blieb bei diesem Punkt in Berlin. Look at point in line.",
+        "Pesa una arroba de trigo y punto. At noon he left.",
+    ):
+        assert kinds(text) == [], text

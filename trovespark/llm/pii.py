@@ -140,7 +140,11 @@ DIGIT_WORDS = {
 }
 AT_WORDS = "at|arroba|arobase|chez|bei"
 DOT_WORDS = "dot|punkt|point|punto"
-TOP_DOMAINS = frozenset("com org net edu gov mil int info biz io ai dev app co me eu de fr es it uk us ca au ch at be nl se no dk fi pl pt ru cn jp in br mx".split())
+TOP_DOMAINS = frozenset("com org net edu gov mil int info biz io ai dev app co me eu de fr es it uk us ca au ch at be nl se no dk fi pl pt ru cn jp in br mx ar cl pe ve uy ec za nz ie cz gr ro hu bg hr rs ua tr kr tw hk sg il online site shop store xyz tech cloud blog live news club top pro world email name museum agency digital studio space website".split())
+#: Bare at-words with the bare dot-words they stand with (all, where the word means nothing else), and words that no
+#: address has after one.
+BARE = {"at": {"dot"}, "bei": {"punkt", "dot"}, "chez": {"point", "dot"}, "arroba": set(DOT_WORDS.split("|")), "arobase": set(DOT_WORDS.split("|"))}
+NO_HOST = frozenset("the a an this that these any some each every which what one some our your my le la les un une ce cet cette ces mon son der die das dem den diesem dieser einem einer jedem el los las este esta ese esa".split())
 
 #: Characters that the first transducer may rewrite: soft hyphen, no-break space, and all beyond the Latin letters.
 UNUSUAL = re.compile("[ ­ıɐ-\U0010ffff]")
@@ -149,12 +153,15 @@ BETWEEN = re.compile(r"[ \t\n,-]{1,3}")
 DOT_BETWEEN = re.compile(rf"[ \t\n]+(?:{DOT_WORDS})[ \t\n]+|[ \t\n]*\.[ \t\n]*", re.IGNORECASE)
 PLUS_BEFORE = re.compile(r"(?:\bplus\b|\+)[ \t\n,:-]{0,3}$", re.IGNORECASE)
 DIGIT_LETTERS = re.compile(r"(?<![A-Za-z0-9])\+?[0-9OoIl](?:[ ().-]{0,2}[0-9OoIl]){7,}(?![A-Za-z0-9])")
-AT = re.compile(rf"(?P<shut>[ \t]*[\[({{<][ \t]*(?:{AT_WORDS}|@)[ \t]*[\])}}>][ \t]*)|(?P<word>[ \t]+at[ \t]+)|(?P<sign>[ \t]*@[ \t]*)", re.IGNORECASE)
-DOT = rf"(?:[ \t]*[\[({{<][ \t]*(?:{DOT_WORDS}|\.)[ \t]*[\])}}>][ \t]*|[ \t]+dot[ \t]+|\.)"
+FOREIGN_DOTS = frozenset(DOT_WORDS.split("|")) - {"dot"}
+AT = re.compile(rf"(?P<shut>[ \t]*[\[({{<][ \t]*(?:{AT_WORDS}|@)[ \t]*[\])}}>][ \t]*)|(?P<word>[ \t]+(?:{AT_WORDS})[ \t]+)|(?P<sign>[ \t]*@[ \t]*)", re.IGNORECASE)
+DOT = rf"(?:[ \t]*[\[({{<][ \t]*(?:{DOT_WORDS}|\.)[ \t]*[\])}}>][ \t]*|[ \t]+(?:{DOT_WORDS})[ \t]+|\.)"
 DOT_AT = re.compile(DOT, re.IGNORECASE)
 DISGUISED_DOMAIN = re.compile(rf"[A-Za-z0-9-]+(?:{DOT}[A-Za-z0-9-]+)+", re.IGNORECASE)
-DISGUISED_LOCAL = re.compile(rf"[A-Za-z0-9_%+-]+(?:{DOT}[A-Za-z0-9_%+-]+)*$", re.IGNORECASE)
-MAY_HIDE = re.compile(rf"[\[({{<][ \t]*(?:{AT_WORDS}|@|{DOT_WORDS})[ \t]*[\])}}>]|[ \t]dot[ \t]", re.IGNORECASE)
+LOCAL_DOT = DOT.replace(rf"[ \t]+(?:{DOT_WORDS})[ \t]+", r"[ \t]+(?:dot|punto|punkt)[ \t]+")
+DISGUISED_LOCAL = re.compile(rf"[A-Za-z0-9_%+-]+(?:{LOCAL_DOT}[A-Za-z0-9_%+-]+)*$", re.IGNORECASE)
+MAY_HIDE = re.compile(rf"[\[({{<][ \t]*(?:{AT_WORDS}|@|{DOT_WORDS})[ \t]*[\])}}>]|[ \t]dot[ \t]|[ \t](?:{AT_WORDS})[ \t]+[A-Za-z0-9-]+(?:\.[A-Za-z0-9]|[ \t]+(?:{DOT_WORDS})[ \t])|@[A-Za-z0-9.-]+[ \t]+(?:{DOT_WORDS})[ \t]", re.IGNORECASE)
+MARKED = re.compile(r"[A-Za-z].*[._+0-9]|[._+0-9].*[A-Za-z]")
 #: Longest local part of an address, with room for its disguised dots.
 LOCAL_ROOM = 160
 
@@ -227,8 +234,9 @@ def letter_edits(text: str) -> list[tuple[int, int, str]]:
 def address_edits(text: str) -> list[tuple[int, int, str]]:
     """At and dot disguises become signs, only where a whole address results.
 
-    In brackets a disguise speaks for itself; the bare word counts only before a domain whose dots are disguised too and
-    whose last label is a common top-level domain.
+    In brackets a disguise speaks for itself; the bare words of all languages count only before a domain whose last label
+    is a common top-level domain, and whose dots are disguised in the same language; before a plain domain, words that
+    mean nothing else count, others only after a local part with a sign or figure in it ('john.doe at example.com').
     """
     edits, done = [], 0
     if not MAY_HIDE.search(text):
@@ -242,18 +250,29 @@ def address_edits(text: str) -> list[tuple[int, int, str]]:
         dots = list(DOT_AT.finditer(domain[0]))
         while dots and not re.fullmatch(r"[A-Za-z]{2,24}", last := re.split(r"[ \t\[({<]", domain[0][dots[-1].end() :])[0]):
             dots.pop()
+        word = at["word"] and at[0].strip().lower()
+        if word and re.match(r"[A-Za-z0-9-]+", domain[0])[0].lower() in NO_HOST:
+            continue
+        bare = [d[0].strip().lower() for d in dots]
+        if word and not set(bare) & set(DOT_WORDS.split("|")) <= BARE[word]:
+            continue
+        while dots and not word and bare[-1] in FOREIGN_DOTS and last.lower() not in TOP_DOMAINS:
+            dots.pop(), bare.pop()
+            last = re.split(r"[ \t\[({<]", domain[0][dots[-1].end() :])[0] if dots else ""
         if not dots:
             continue
         stop = domain.start() + dots[-1].end() + len(last)
         hidden = any(d[0] != "." for d in dots)
         common = last.lower() in TOP_DOMAINS
-        if at["word"] and not (hidden and common) or at["sign"] and not (hidden or at[0] != "@") or at["sign"] and at[0] != "@" and not common:
+        if word and not common or at["sign"] and not (hidden or at[0] != "@") or at["sign"] and at[0] != "@" and not common:
             continue
         room = max(done, at.start() - LOCAL_ROOM)
         local = DISGUISED_LOCAL.search(text[room : at.start()])
         if not local:
             continue
         begin = room + local.start()
+        if word in ("at", "bei", "chez") and not hidden and not MARKED.search(local[0]):
+            continue
         for d in DOT_AT.finditer(text, begin, at.start()):
             if d[0] != ".":
                 edits.append((d.start(), d.end(), "."))
