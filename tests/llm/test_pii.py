@@ -93,3 +93,12 @@ def test_bare_words_in_clean_prose():
         "Pesa una arroba de trigo y punto. At noon he left.",
     ):
         assert kinds(text) == [], text
+
+
+def test_numbers_of_words_and_figures():
+    assert kinds("call +1 five five five 123 4567 now") == [("phone", "+1 five five five 123 4567")]
+    assert kinds("card 4111 one one one one 1111 1111 ok") == [("card", "4111 one one one one 1111 1111")]
+    assert kinds("ip 192 dot 168 dot one dot 5.") == [("ip", "192 dot 168 dot one dot 5")]
+    assert kinds("call +1 555 123 4567 one time") == [("phone", "+1 555 123 4567")]
+    assert kinds("le 10.0.0.1 un jour") == [("ip", "10.0.0.1")]
+    assert kinds("In 2020 one of 12 pages, two of 300.") == []

@@ -148,6 +148,7 @@ NO_HOST = frozenset("the a an this that these any some each every which what one
 
 #: Characters that the first transducer may rewrite: soft hyphen, no-break space, and all beyond the Latin letters.
 UNUSUAL = re.compile("[ ­ıɐ-\U0010ffff]")
+DIGIT_TOKEN = re.compile(rf"[0-9]+|\b(?:{'|'.join(sorted(DIGIT_WORDS, key=len, reverse=True))})\b", re.IGNORECASE)
 DIGIT_WORD = re.compile(rf"\b(?:{'|'.join(sorted(DIGIT_WORDS, key=len, reverse=True))})\b", re.IGNORECASE)
 BETWEEN = re.compile(r"[ \t\n,-]{1,3}")
 DOT_BETWEEN = re.compile(rf"[ \t\n]+(?:{DOT_WORDS})[ \t\n]+|[ \t\n]*\.[ \t\n]*", re.IGNORECASE)
@@ -192,19 +193,34 @@ def lookalike_edits(text: str) -> list[tuple[int, int, str]]:
     return edits
 
 
+def digits_of(token: str) -> str:
+    return token if token.isdigit() else str(DIGIT_WORDS[token.lower()])
+
+
 def spelled_edits(text: str) -> list[tuple[int, int, str]]:
-    """Digit words in runs of four or more become digits; what separates two of them goes, or becomes the dot it says."""
+    """Runs of digit words and figures with four or more digits become digits; what separates two of them goes, or becomes
+    the dot it says. Figures of plain identifiers are in no run, so that a word beside one doesn't join it."""
+    edits: list[tuple[int, int, str]] = []
+    if not DIGIT_WORD.search(text):
+        return edits
     runs: list[list[re.Match]] = []
-    for m in DIGIT_WORD.finditer(text):
-        if runs:
+    taken = detect(text)
+    ends = [0] * len(taken)  # furthest end of the spans so far
+    for i, (_, _, end) in enumerate(taken):
+        ends[i] = max(end, ends[i - 1] if i else 0)
+    starts = [begin for begin, _, _ in taken]
+    for m in DIGIT_TOKEN.finditer(text):
+        if (i := bisect_right(starts, m.start())) and m.start() < ends[i - 1] and m[0].isdigit():
+            runs.append([])
+            continue
+        if runs and runs[-1]:
             gap = text[runs[-1][-1].end() : m.start()]
             if len(gap) <= 12 and (BETWEEN.fullmatch(gap) or DOT_BETWEEN.fullmatch(gap)):
                 runs[-1].append(m)
                 continue
         runs.append([m])
-    edits: list[tuple[int, int, str]] = []
     for run in runs:
-        if len(run) < 4:
+        if all(m[0].isdigit() for m in run) or sum(len(m[0]) if m[0].isdigit() else 1 for m in run) < 4:
             continue
         plus = PLUS_BEFORE.search(text[max(0, run[0].start() - 10) : run[0].start()])
         begin = run[0].start() - (len(plus[0]) if plus else 0)
@@ -214,9 +230,9 @@ def spelled_edits(text: str) -> list[tuple[int, int, str]]:
             lead = "+" * bool(plus) if not i else "." * bool(DOT_BETWEEN.fullmatch(text[run[i - 1].end() : m.start()]))
             if lead:
                 edits.append((begin if not i else run[i - 1].end(), m.start(), lead))
-                edits.append((m.start(), m.end(), str(DIGIT_WORDS[m[0].lower()])))
+                edits.append((m.start(), m.end(), digits_of(m[0])))
             else:
-                edits.append((run[i - 1].end() if i else m.start(), m.end(), str(DIGIT_WORDS[m[0].lower()])))
+                edits.append((run[i - 1].end() if i else m.start(), m.end(), digits_of(m[0])))
     return edits
 
 
