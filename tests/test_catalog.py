@@ -36,3 +36,11 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0
     assert {"bm25_top10", "eval_summary"} <= set(e.queries()) and set(e.oracle_sql()) <= set(e.queries())
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
+def test_all_embeddings_are_clustered(spark):
+    from trovespark.plans import catalog
+
+    got = [r.place for r in catalog.queries()["facet_clusters"](spark, SF).collect()]
+    assert sorted(got) == sorted(r.vec_id for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()) and len(got) > 200

@@ -613,8 +613,8 @@ def _(f):
 
 @register("facet_clusters")
 def _(f):
-    rows = f.table("embeddings").where("vec_id < 200").select(F.lit("q").alias("qid"), F.col("vec_id").cast("int").alias("place"), F.col("embedding").cast("array<double>").alias("vector"))
-    return distil.facets(rows, distance=0.9).select("place", "label")
+    rows = f.table("embeddings").select(F.expr("cast(floor(vec_id / 200) as string)").alias("qid"), F.col("vec_id").cast("int").alias("place"), F.col("embedding").cast("array<double>").alias("vector"))
+    return distil.facets(rows, distance=0.9).select("qid", "place", "label")
 
 
 @register("slot_select")
