@@ -48,19 +48,34 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.Re
     tidy()
 
 
+#: Spark's setting by which a finished query's shuffle files go at once, not when the driver's garbage is collected.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or the warehouse where that is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a session on one machine
+    takes the warehouse; a cluster's is an error, as no folder is known to be shared."""
+    if found := spark.conf.get("spark.checkpoint.dir", None):
+        return found
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """`df` written once as Parquet into the shared folder and read back.
+def materialise(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """`df` written once as Parquet into the shared folder and read back, in a folder for each value of column `by`.
 
-    Cuts lineage: what a lost executor held is read again from the table, not computed again. `release` deletes it.
+    Cuts lineage: what a lost executor held is read again from the table, not computed again, so the shuffle files that
+    made it go with the query that wrote it. `release` deletes the table.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._shared_path = path
     return out
