@@ -6,7 +6,6 @@ from trovespark.llm import tokencount
 
 PATH = P.path("word_bpe_49k.json")
 LIB = Tokenizer.from_file(PATH)
-LIB.encode_special_tokens = True
 COUNTS = tokencount.PieceCounts(PATH)
 
 

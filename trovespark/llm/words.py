@@ -1,8 +1,9 @@
 """Words of many texts as 64-bit numbers, found and hashed by array operations without a Python object for each word.
 
 A word is a maximal run of characters other than space and the five control characters from tab to carriage return;
-letters A to Z are lowered. Its number is a polynomial of its bytes modulo 2^64, read off prefix sums, then mixed with
-its length. Two words of one corpus of a billion different ones share a number with a chance of about 3 in 100.
+letters A to Z are lowered. Its number is the sum, modulo 2^64, of one pseudo-random number for each place and byte, read
+off prefix sums, then mixed with its length. Numbers have no algebra that some family of words could cancel, so two
+different words share one with a chance of 2^-64 (3 in 100 for some pair among a billion different words).
 """
 
 from __future__ import annotations
@@ -14,9 +15,12 @@ import numpy as np
 BASE = 0x9E3779B97F4A7C15 | 1
 CHUNK = 1 << 18
 
+#: Places of a word whose bytes' numbers are looked up; those of further places are worked out.
+PLACES = 256
+
 _BYTES = np.arange(256)
 SEPARATOR = np.isin(_BYTES, [32, *range(9, 14)])
-VALUE = (np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES) + 1).astype(np.uint64)
+LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -28,18 +32,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_known: list[tuple[np.ndarray, np.ndarray]] = []
+def _drawn(place_and_byte: np.ndarray) -> np.ndarray:
+    """The pseudo-random number of place << 8 | byte."""
+    return mixed(mixed(place_and_byte.astype(np.uint64) + np.uint64(BASE)) ^ np.uint64(0xD6E8FEB86659FD93))
 
 
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """At least `size` powers of BASE and of its inverse; the longest so far are kept unless they are very long."""
-    if _known and len(_known[0][0]) >= size:
-        return _known[0]
-    size = 1 << max(19, (size - 1).bit_length())
-    made = tuple(np.cumprod(np.r_[np.uint64(1), np.full(size - 1, b, np.uint64)]) for b in (BASE, pow(BASE, -1, 1 << 64)))
-    if size <= 1 << 21:
-        _known[:] = [made]
-    return made
+TABLE = _drawn(np.arange(PLACES << 8))
 
 
 def word_numbers(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -50,9 +48,14 @@ def word_numbers(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         separator = SEPARATOR[bytes_]
         edges = np.flatnonzero(separator[1:] != separator[:-1]) + 1
         begin, end = edges[0::2], edges[1::2]
-        power, inverse = _powers(len(raw))
-        sums = np.cumsum(VALUE[bytes_] * power[: len(raw)])
-        numbers.append(mixed((sums[end - 1] - sums[begin - 1]) * inverse[begin] + (end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+        started = np.zeros(len(raw), np.int32)
+        started[begin] = begin
+        key = (np.arange(len(raw), dtype=np.int32) - np.maximum.accumulate(started)).astype(np.int64) << 8 | LOWER[bytes_]
+        value = TABLE[np.minimum(key, len(TABLE) - 1)]
+        if len(far := np.flatnonzero(key >= len(TABLE))):
+            value[far] = _drawn(key[far])
+        sums = np.cumsum(value)
+        numbers.append(mixed(sums[end - 1] - sums[begin - 1] + (end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
         counts[first + 1 : upto + 1] = np.diff(np.searchsorted(begin, starts))
     return np.concatenate(numbers) if numbers else np.zeros(0, np.uint64), np.cumsum(counts)
 
