@@ -66,3 +66,15 @@ def role_of(run: Column, train: list[str], test: list[str]) -> Column:
     """train, test or other, by the split names that a run's name contains."""
     any_of = lambda stems: F.exists(F.array(*map(F.lit, stems)), lambda s: F.contains(run, s)) if stems else F.lit(False)
     return F.when(any_of(train), "train").when(any_of(test), "test").otherwise("other")
+
+
+def safe_name(name: Column) -> Column:
+    """A file name: everything but letters, digits, dot, dash and underscore as one underscore."""
+    return F.regexp_replace(strip(name), r"[^A-Za-z0-9._-]+", "_")
+
+
+def short_label(run: Column, most: int = 24) -> Column:
+    """A run's name for a plot: its split if the name holds one, else the name, cut in the middle where it is too long."""
+    name = F.coalesce(split_of_run(run), run)
+    half = (most - 1) // 2
+    return F.when(F.length(name) <= most, name).otherwise(F.concat(F.substring(name, 1, half), F.lit("~"), F.right(name, F.lit(half))))

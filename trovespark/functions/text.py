@@ -154,3 +154,8 @@ def context_text(title: Column, text: Column) -> Column:
 def clipped(x: Column, most: int) -> Column:
     """The text, or its first characters and three dots."""
     return F.when(F.length(x) > most, F.concat(F.substring(x, 1, most), F.lit("..."))).otherwise(x)
+
+
+def with_seed(topics):
+    """Topics (qid, query) that ask by their seed: the query as given is kept as query_raw."""
+    return topics.withColumn("query_raw", F.col("query")).withColumn("query", seed_query(F.col("query")))

@@ -119,3 +119,12 @@ def attributed(sentences: DataFrame, citations: DataFrame) -> DataFrame:
     rows = sentences.join(per, ["qid", "sent"], "left").withColumn("doc_ids", F.coalesce("doc_ids", F.array().cast("array<string>")))
     listed = F.transform(F.array_sort(F.collect_list(F.struct("sent", "text", "doc_ids"))), lambda s: s.dropFields("sent"))
     return rows.groupBy("qid").agg(listed.alias("answer_sentences"))
+
+
+def with_citations(answers: DataFrame, sentences: DataFrame, citations: DataFrame) -> DataFrame:
+    """Answers (qid, ideal_answer, …) with their cited sentences; a blank answer passes through with none."""
+    cited = attributed(sentences, citations)
+    kind = cited.schema["answer_sentences"].dataType.simpleString()
+    rows = answers.join(cited, "qid", "left")
+    has = F.trim(F.coalesce("ideal_answer", F.lit(""))) != ""
+    return rows.withColumn("answer_sentences", F.coalesce(F.when(has, F.col("answer_sentences")), F.array().cast(kind)))

@@ -2,7 +2,8 @@
 
 BM25 (Robertson and Zaragoza 2009) with an inverse document frequency that is never negative; feedback is RM3
 (Abdul-Jaleel et al. 2004). Scores are rounded to six places before ranking, so that sums taken in another order rank the
-same. Only the terms of the queries are counted in documents: tokens meet the query terms before anything is grouped.
+same. A corpus is tokenised once, into an `Index` of postings that lies in the shared folder; first retrieval, feedback and
+second retrieval all read that.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from trovespark.frames import materialise, release
 from trovespark.functions.text import window_words, words
 from trovespark.operators.ranking import by_score, cut
 
@@ -44,20 +46,23 @@ def query_terms(topics: DataFrame) -> DataFrame:
 
 @dataclass
 class Index:
-    """Documents of a corpus reduced to the terms wanted, and the corpus's own statistics."""
+    """A corpus's postings (term, docno, tf, dl), document frequencies and statistics, written once and used by every
+    retrieval; `stats` has one row. Terms are those of `words`: neither stemmed nor stopped."""
 
     postings: DataFrame
     df: DataFrame
-    n: int
-    avgdl: float
+    stats: DataFrame
 
     @classmethod
-    def of(cls, corpus: DataFrame, terms: DataFrame) -> Index:
-        stats = corpus_stats(corpus).first()
-        wanted = terms.select("term").distinct()
-        tokens = with_tokens(corpus).select("docno", F.size("tokens").alias("dl"), F.explode("tokens").alias("term")).join(wanted, "term", "left_semi")
-        found = tokens.groupBy("term", "docno").agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl"))
-        return cls(found, found.groupBy("term").agg(F.count(F.lit(1)).alias("df")), stats.n, stats.avgdl or 1.0)
+    def build(cls, corpus: DataFrame) -> Index:
+        """The index in the shared folder, postings in order of their terms, so that a look-up reads few of their files."""
+        rows = postings(corpus).repartitionByRange("term").sortWithinPartitions("term", "docno")
+        stored = materialise(rows, "postings")
+        df = materialise(stored.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "document-frequencies")
+        return cls(stored, df, materialise(corpus_stats(corpus), "corpus-stats"))
+
+    def release(self) -> None:
+        release(self.postings, self.df, self.stats)
 
 
 def part(weight: Column, n: Column | float, df: Column, tf: Column, dl: Column, avgdl: Column | float, k1: float = K1, b: float = B) -> Column:
@@ -68,28 +73,26 @@ def part(weight: Column, n: Column | float, df: Column, tf: Column, dl: Column,
 
 def bm25(index: Index, terms: DataFrame, k: int, k1: float = K1, b: float = B) -> DataFrame:
     """The k best documents of each query (qid, docno, score, rank), terms being qid, term, weight."""
-    met = terms.join(index.df, "term").join(index.postings, "term")
-    one = part(F.col("weight"), F.lit(index.n), F.col("df"), F.col("tf"), F.col("dl"), F.lit(index.avgdl), k1, b)
+    met = terms.join(index.df, "term").join(index.postings, "term").join(F.broadcast(index.stats))
+    one = part(F.col("weight"), F.col("n"), F.col("df"), F.col("tf"), F.col("dl"), F.col("avgdl"), k1, b)
     scores = met.groupBy("qid", "docno").agg(F.round(F.sum(one), 6).alias("score"))
     return cut(by_score(scores), k).select("qid", "docno", "rank", "score")
 
 
-def retrieve(corpus: DataFrame, topics: DataFrame, k: int) -> DataFrame:
-    terms = query_terms(topics)
-    return bm25(Index.of(corpus, terms), terms, k)
+def retrieve(corpus: DataFrame | Index, topics: DataFrame, k: int) -> DataFrame:
+    """The k best documents of each topic. A corpus without an index gets one for this call."""
+    return bm25(corpus if isinstance(corpus, Index) else Index.build(corpus), query_terms(topics), k)
 
 
-def rm3_terms(corpus: DataFrame, topics: DataFrame, first: DataFrame, fb_docs: int = 20, fb_terms: int = 30, fb_lambda: float = 0.6) -> DataFrame:
+def rm3_terms(index: Index, topics: DataFrame, first: DataFrame, fb_docs: int = 20, fb_terms: int = 30, fb_lambda: float = 0.6) -> DataFrame:
     """qid, term, weight of expanded queries: lambda of the query's own term shares, the rest of the feedback documents'.
 
     A feedback document counts by its share of the first scores; its terms by their share of its length. Weights are
     rounded to nine places before the best `fb_terms` are chosen, ties by term.
     """
     pool = first.where(F.col("rank") <= fb_docs)
-    pool = pool.withColumn("share", F.col("score") / F.sum("score").over(Window.partitionBy("qid")))
-    tokens = with_tokens(corpus).join(pool.select("docno").distinct(), "docno", "left_semi")
-    terms = tokens.select("docno", F.size("tokens").alias("dl"), F.explode("tokens").alias("term")).groupBy("docno", "term", "dl").agg(F.count(F.lit(1)).alias("tf"))
-    model = pool.join(terms, "docno").groupBy("qid", "term").agg(F.round(F.sum(F.col("share") * F.col("tf") / F.col("dl")), 9).alias("p"))
+    pool = pool.withColumn("share", F.col("score") / F.sum("score").over(Window.partitionBy("qid"))).select("qid", "docno", "share")
+    model = index.postings.join(pool, "docno").groupBy("qid", "term").agg(F.round(F.sum(F.col("share") * F.col("tf") / F.col("dl")), 9).alias("p"))
     best = Window.partitionBy("qid").orderBy(F.desc("p"), "term")
     model = model.withColumn("r", F.row_number().over(best)).where(F.col("r") <= fb_terms)
     model = model.select("qid", "term", ((1 - fb_lambda) * F.col("p") / F.sum("p").over(Window.partitionBy("qid"))).alias("fed"), F.lit(0.0).alias("own"))
@@ -99,10 +102,10 @@ def rm3_terms(corpus: DataFrame, topics: DataFrame, first: DataFrame, fb_docs: i
     return both.select("qid", "term", F.round(F.col("own") + F.col("fed"), 9).alias("weight"))
 
 
-def retrieve_rm3(corpus: DataFrame, topics: DataFrame, k: int, k_feedback: int = 50, fb_docs: int = 20, fb_terms: int = 30, fb_lambda: float = 0.6) -> DataFrame:
-    first = retrieve(corpus, topics, k_feedback)
-    terms = rm3_terms(corpus, topics, first, fb_docs, fb_terms, fb_lambda)
-    return bm25(Index.of(corpus, terms), terms, k)
+def retrieve_rm3(corpus: DataFrame | Index, topics: DataFrame, k: int, k_feedback: int = 50, fb_docs: int = 20, fb_terms: int = 30, fb_lambda: float = 0.6) -> DataFrame:
+    index = corpus if isinstance(corpus, Index) else Index.build(corpus)
+    first = bm25(index, query_terms(topics), max(k_feedback, fb_docs))
+    return bm25(index, rm3_terms(index, topics, first, fb_docs, fb_terms, fb_lambda), k)
 
 
 def grouped_bm25(items: DataFrame, group: list[str], item: str, query: Column, text: Column, tokens=window_words, k1: float = 1.5, b: float = 0.75) -> DataFrame:
@@ -112,13 +115,12 @@ def grouped_bm25(items: DataFrame, group: list[str], item: str, query: Column, t
     ln(1 + (n - df + 0.5) / (df + 0.5)).
     """
     rows = items.select(*group, item, tokens(query).alias("_q"), tokens(text).alias("_t"))
+    times = lambda words, term: F.size(F.filter(words, lambda w: w == term))
+    hits = F.transform(F.array_intersect("_q", "_t"), lambda term: F.struct(term.alias("term"), times(F.col("_t"), term).alias("tf"), times(F.col("_q"), term).alias("w")))
+    rows = rows.select(*group, item, F.size("_t").alias("_dl"), hits.alias("_hits"))  # tokens go no further than here
     whole = Window.partitionBy(*group)
-    rows = rows.withColumn("_full", (F.size("_t") > 0).cast("int"))
-    rows = rows.withColumn("_n", F.sum("_full").over(whole)).withColumn("_avg", F.sum(F.size("_t")).over(whole) / F.greatest("_n", F.lit(1)))
-    met = rows.withColumn("_term", F.explode(F.array_intersect("_q", "_t")))
-    times = lambda words: F.size(F.filter(words, lambda w: w == F.col("_term")))
-    hits = met.select(*group, item, "_n", "_avg", F.size("_t").alias("_dl"), "_term", times("_t").alias("_tf"), times("_q").alias("_w"))
-    hits = hits.withColumn("_df", F.count(F.lit(1)).over(Window.partitionBy(*group, "_term")))
-    one = part(F.col("_w"), F.col("_n"), F.col("_df"), F.col("_tf"), F.col("_dl"), F.col("_avg"), k1, b)
-    scores = hits.groupBy(*group, item).agg(F.round(F.sum(one), 6).alias("bm25"))
+    rows = rows.withColumn("_n", F.sum((F.col("_dl") > 0).cast("int")).over(whole)).withColumn("_avg", F.sum("_dl").over(whole) / F.greatest("_n", F.lit(1)))
+    met = rows.select(*group, item, "_n", "_avg", "_dl", F.inline("_hits")).withColumn("_df", F.count(F.lit(1)).over(Window.partitionBy(*group, "term")))
+    one = part(F.col("w"), F.col("_n"), F.col("_df"), F.col("tf"), F.col("_dl"), F.col("_avg"), k1, b)
+    scores = met.groupBy(*group, item).agg(F.round(F.sum(one), 6).alias("bm25"))
     return items.join(scores, [*group, item], "left").withColumn("bm25", F.coalesce("bm25", F.lit(0.0)))

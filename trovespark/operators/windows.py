@@ -126,7 +126,18 @@ def stats(pairs: DataFrame, chosen: DataFrame) -> DataFrame:
     )
 
 
+def legacy_rows(records: DataFrame) -> DataFrame:
+    """The windows of records that carry them as one flat list (structs with docno) as scored rows, places by score within
+    a document: the shape before windows were kept by document."""
+    rows = records.select("qid", F.explode("snippet_windows").alias("w")).select("qid", "w.*")
+    order = Window.partitionBy("qid", "docno").orderBy(F.desc_nulls_last("ce_score"), "window_idx")
+    return rows.withColumn("place", F.row_number().over(order))
+
+
 def source_label(records: DataFrame) -> DataFrame:
-    """One row: whether records carry windows themselves ('embedded'), none does ('file'), or only some ('mixed')."""
-    has = F.coalesce(F.size(F.map_keys("doc_snippet_windows")) > 0, F.lit(False))
-    return records.agg(F.when(F.bool_and(has), "embedded").when(F.bool_or(has), "mixed").otherwise("file").alias("source"))
+    """One row: whether records carry windows by document ('embedded') or as a flat list ('legacy'), none does ('file'), or
+    only some or some of each ('mixed')."""
+    has = lambda c, size: F.coalesce(size(F.col(c)) > 0, F.lit(False)) if c in records.columns else F.lit(False)
+    new, old = has("doc_snippet_windows", lambda m: F.size(F.map_keys(m))), has("snippet_windows", F.size)
+    told = records.agg(F.bool_and(new).alias("all_new"), F.bool_and(old & ~new).alias("all_old"), F.bool_or(new | old).alias("some"))
+    return told.select(F.when(F.col("all_new"), "embedded").when(F.col("all_old"), "legacy").when(F.col("some"), "mixed").otherwise("file").alias("source"))

@@ -74,10 +74,9 @@ def _(f):
     return f.turns().where("role = 'user'").select("qid", *big("turn"), text.seed_query(F.concat(F.lit("What is "), F.col("text"))).alias("seed"))
 
 
-@register("claim_keys", "SELECT id, sha1(qid || chr(1) || text) k1, substr(sha1(text), 1, 16) k2 FROM ctx")
+@register("claim_keys", r"SELECT id, sha1(encode(qid) || '\x00'::BLOB || encode(text)) k FROM ctx")
 def _(f):
-    # the zero byte of the key itself is tested apart; DuckDB's text has none
-    return f.contexts().select("id", F.sha1(F.concat("qid", F.lit("\x01"), "text")).alias("k1"), F.substring(F.sha1("text"), 1, 16).alias("k2"))
+    return f.contexts().select("id", text.claim_key(F.col("qid"), F.col("text")).alias("k"))
 
 
 @register("member_hash", r"SELECT context_id, substr(sha1(array_to_string(list_sort(list_transform(claims, lambda c: trim(regexp_replace(lower(c), '[^\p{L}\p{N}_]+', ' ', 'g')))), chr(10))), 1, 16) h FROM claimrows")
@@ -169,7 +168,7 @@ RM3 = {
 
 @register("bm25_rm3_top10", "SELECT * FROM (SELECT qid, docno, row_number() OVER (PARTITION BY qid ORDER BY score DESC, docno) rank, score FROM rmscore) WHERE rank <= 10", **RM3)
 def _(f):
-    return lexical.retrieve_rm3(f.corpus(), f.topics(), 10).select("qid", "docno", *big("rank"), "score")
+    return lexical.retrieve_rm3(f.index(), f.topics(), 10).select("qid", "docno", *big("rank"), "score")
 
 
 @register("dense_top10", "SELECT qid, docno, rank, score FROM dense WHERE rank <= 10")
@@ -334,11 +333,22 @@ def _(f):
 
 # Reranking and cut-off
 
-@register("rerank_stub", "SELECT qid, docno, row_number() OVER (PARTITION BY qid ORDER BY score DESC NULLS LAST, rank, docno) rank, score FROM (SELECT qid, docno, rank, scores.score FROM (SELECT qid, docno, rank FROM lex) l JOIN scores USING (qid, docno))")
+_STOP = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in text.STOP) + "]"
+CT = "list_distinct(list_filter(regexp_extract_all(lower({}), '[a-z0-9]+'), lambda w: length(w) > 1 AND NOT list_contains(" + _STOP + ", w)))"
+#: The share of a text's content words among a query's, nothing for a query without any.
+OVERLAP = f"CASE WHEN len({CT.format('{q}')}) > 0 THEN len(list_intersect({CT.format('{q}')}, {CT.format('{t}')})) / len({CT.format('{q}')}) END"
+
+
+def overlap(q: str, t: str) -> str:
+    return OVERLAP.replace("{q}", q).replace("{t}", t)
+
+
+RERANKED = f"SELECT qid, docno, row_number() OVER (PARTITION BY qid ORDER BY score DESC NULLS LAST, rank, docno) rank, score FROM (SELECT qid, docno, rank, {overlap('query', 'text')} score FROM lex JOIN topics USING (qid) JOIN corpus USING (docno) WHERE trim(query) <> '')"
+
+
+@register("rerank_stub", "SELECT qid, docno, rank, round(score, 9) score FROM rr", rr=RERANKED)
 def _(f):
-    run = f.lexical_run()
-    told = run.drop("score").join(f.scores(run), ["qid", "docno"]).withColumn("_in", F.col("rank"))
-    return ranking.ranked(told, F.desc_nulls_last("score"), F.asc("_in"), F.asc("docno")).select("qid", "docno", *big("rank"), "score")
+    return rerank.rerank(f.lexical_run(), f.topics(), f.corpus()).select("qid", "docno", *big("rank"), r9("score", "score"))
 
 
 TSTAR = {
@@ -389,16 +399,46 @@ def _(f):
     return out.select("mean", "median", "p95", *big("most"))
 
 
-@register("listwise_stub")
+SNIPPETS = "SELECT qid, docno, window_text FROM (SELECT *, row_number() OVER (PARTITION BY qid, docno ORDER BY ce_score DESC, window_idx) n FROM winscore) WHERE n = 1"
+CLIP = r"array_to_string(list_slice(list_filter(regexp_split_to_array(window_text, '\s+'), lambda w: w <> ''), 1, 40), ' ')"
+
+
+@register("listwise_requests", "SELECT qid, string_agg(docno, ',' ORDER BY rank) docnos, md5(string_agg(" + CLIP + ", chr(10) ORDER BY rank)) h FROM (SELECT qid, docno, rank FROM lex WHERE rank <= 50) JOIN best USING (qid, docno) GROUP BY qid", best=SNIPPETS)
+def _(f):
+    requests = rerank.listwise_requests(f.lexical_run(50), f.topics(), windows.best_text(f.window_rows()), 50, 40)
+    return requests.select("qid", F.array_join("docnos", ",").alias("docnos"), F.md5(F.array_join("passages", "\n")).alias("h"))
+
+
+SHARED_WORDS = r"len(list_intersect(list_distinct(list_filter(regexp_split_to_array(lower(query), '\s+'), lambda w: w <> '')), regexp_split_to_array(lower(clip), '\s+')))"
+
+
+@register("listwise_single", f"SELECT qid, docno, row_number() OVER (PARTITION BY qid ORDER BY {SHARED_WORDS} DESC, rank) rank FROM (SELECT qid, docno, rank, query, {CLIP} clip FROM lex JOIN best USING (qid, docno) JOIN topics USING (qid) WHERE rank <= 50)", best=SNIPPETS)
+def _(f):
+    requests = rerank.listwise_requests(f.lexical_run(50), f.topics(), windows.best_text(f.window_rows()), 50, 40)
+    return rerank.permuted(requests).select("qid", "docno", *big("rank"))
+
+
+SLIDE = {"lq": f"SELECT qid, docno, n, c, rank - 1 i FROM (SELECT qid, docno, {SHARED_WORDS} c, row_number() OVER (PARTITION BY qid ORDER BY rank) rank, count(*) OVER (PARTITION BY qid) n FROM (SELECT qid, docno, rank, query, {CLIP} clip FROM lex JOIN best USING (qid, docno) JOIN topics USING (qid) WHERE rank <= 50))", "best": SNIPPETS}
+#: One pass of windows of 15 from the back, 5 at a time: with at most 20 documents there are two windows.
+SLIDE["s1"] = "SELECT qid, docno, c, n, CASE WHEN i < greatest(n - 15, 0) THEN i ELSE greatest(n - 15, 0) + row_number() OVER (PARTITION BY qid, i >= greatest(n - 15, 0) ORDER BY c DESC, i) - 1 END i FROM lq"
+SLIDE["s2"] = "SELECT qid, docno, n, CASE WHEN n <= 15 OR i >= 15 THEN i ELSE row_number() OVER (PARTITION BY qid, i < 15 ORDER BY c DESC, i) - 1 END i FROM s1"
+
+
+@register("listwise_sliding", "SELECT qid, docno, i + 1 rank FROM s2", **SLIDE)
 def _(f):
-    snippets = windows.best_text(f.window_rows())
-    requests = rerank.listwise_requests(f.lexical_run(50), f.topics(), snippets, 50, 40)
-    return rerank.permuted(requests, window=15, stride=5)
+    requests = rerank.listwise_requests(f.lexical_run(50), f.topics(), windows.best_text(f.window_rows()), 50, 40)
+    return rerank.permuted(requests, window=15, stride=5).select("qid", "docno", *big("rank"))
+
+
+MAXP = {
+    "mw": r"SELECT qid, docno, rank, query, list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '') w, CAST(greatest(128, 252 - len(regexp_split_to_array(query, '\s+'))) AS BIGINT) n FROM lex JOIN topics USING (qid) JOIN corpus USING (docno) WHERE rank <= 10",
+    "mp": f"SELECT qid, docno, max(sc) score FROM (SELECT qid, docno, {overlap('query', 'part')} sc FROM (SELECT qid, docno, query, array_to_string(list_slice(w, i * (n // 2) + 1, i * (n // 2) + n), ' ') part FROM (SELECT *, unnest(range(0, CAST(greatest(0, ceil((len(w) - n) / (n // 2))) AS BIGINT) + 1)) i FROM mw))) GROUP BY qid, docno",
+}
 
 
-@register("maxp_stub")
+@register("maxp_stub", "SELECT qid, docno, row_number() OVER (PARTITION BY qid ORDER BY score DESC NULLS LAST, rank, docno) rank, round(score, 9) score FROM mw JOIN mp USING (qid, docno)", **MAXP)
 def _(f):
-    return rerank.by_best_passage(f.lexical_run(10), f.topics(), f.corpus(), size=256).select("qid", "docno", *big("rank"), "score")
+    return rerank.by_best_passage(f.lexical_run(10), f.topics(), f.corpus(), size=256).select("qid", "docno", *big("rank"), r9("score", "score"))
 
 
 # Windows
@@ -436,7 +476,13 @@ def _(f):
     return out.select("qid", "docno", "window_idx", "bm25")
 
 
-@register("window_shortlist")
+WBS = WBM | {
+    "wbm": "SELECT qid, docno, window_idx, query, window_text, coalesce(s, 0.0) bm25 FROM wins LEFT JOIN (SELECT qid, docno, window_idx, round(sum(w * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avgl))), 6) s FROM wd GROUP BY qid, docno, window_idx) USING (qid, docno, window_idx)",
+    "wro": f"SELECT qid, docno, window_idx, count(*) OVER (PARTITION BY qid, docno) n, row_number() OVER (PARTITION BY qid, docno ORDER BY bm25 DESC NULLS LAST, window_idx) a, row_number() OVER (PARTITION BY qid, docno ORDER BY {overlap('query', 'window_text')} DESC NULLS LAST, window_idx) b FROM wbm",
+}
+
+
+@register("window_shortlist", "SELECT qid, docno, window_idx FROM (SELECT qid, docno, window_idx, n, row_number() OVER (PARTITION BY qid, docno ORDER BY 1.0 / (60 + a) + 1.0 / (60 + b) DESC, window_idx) r FROM wro) WHERE n <= 5 OR r <= 5", **WBS)
 def _(f):
     rows = f.window_rows().join(f.topics(), "qid")
     return windows.shortlist(rows, 5).select("qid", "docno", "window_idx")
@@ -554,9 +600,10 @@ def _(f):
     return evaluate.map_curve(f.lexical_run(), f.gold(), (1, 10, 100)).select("k", r9("map", "map"))
 
 
-@register("zero_recall", "SELECT DISTINCT qid FROM gold WHERE qid NOT IN (SELECT qid FROM jrun WHERE rel = 1 AND rank <= 1)", **EVAL)
+@register("zero_recall", "SELECT DISTINCT qid FROM gold WHERE qid NOT IN (SELECT qid FROM jrun WHERE rel = 1 AND rank > 2 AND rank <= 10)", **EVAL)
 def _(f):
-    return evaluate.zero_recall(f.lexical_run(), f.gold(), 1)
+    late = ranking.ranked(f.lexical_run().where("rank > 2"), F.asc("rank"))  # many miss their gold without the first two
+    return evaluate.zero_recall(late, f.gold(), 8)
 
 
 @register("eval_chunks", "SELECT qid, sum(rel) hits FROM (SELECT DISTINCT qid, p docno FROM chunkrun) LEFT JOIN (SELECT qid, docno, 1 rel FROM gold) USING (qid, docno) GROUP BY qid")
@@ -617,12 +664,6 @@ def _(f):
     return distil.facets(rows, distance=0.9).select("qid", "place", "label")
 
 
-@register("slot_select")
-def _(f):
-    slots = distil.packed(distil.claims(f.cache()), slots=24).select("qid", "place", "doc_id", "text")
-    return distil.selected_slots(slots, f.asked(), 8).select("qid", "place", "rank")
-
-
 @register("claim_requests", "SELECT qid, pos, md5(text) h FROM (SELECT *, row_number() OVER (PARTITION BY qid, text ORDER BY pos) n FROM ctx WHERE pos < 30) WHERE n = 1")
 def _(f):
     return distil.claim_requests(f.contexts()).select("qid", *big("pos"), F.md5("text").alias("h"))
@@ -635,8 +676,6 @@ def _(f):
     return attribute.trivial(f.answers(), f.evidence(), f.slots()).select("qid", *big("sent", "cite"), "doc_id")
 
 
-_STOP = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in text.STOP) + "]"
-CT = "list_distinct(list_filter(regexp_extract_all(lower({}), '[a-z0-9]+'), lambda w: length(w) > 1 AND NOT list_contains(" + _STOP + ", w)))"
 LIN = {
     "toka": f"SELECT qid, sent, {CT.format('text')} s FROM ans",
     "st": f"SELECT qid, id, pos, doc_id, {CT.format('text')} t, min(pos) OVER (PARTITION BY qid, doc_id) f FROM evid JOIN slots USING (qid, id)",
@@ -665,7 +704,21 @@ def _(f):
     return attribute.descent(f.answers(), f.evidence(), f.slots(), members).select("qid", *big("sent", "cite"), "doc_id")
 
 
-@register("attr_lineage_rrf")
+RRF_LIN = {
+    "toka": f"SELECT qid, sent, text sentence, {CT.format('text')} s FROM ans",
+    "st": f"SELECT qid, id, pos, doc_id, text slot, {CT.format('text')} t, min(pos) OVER (PARTITION BY qid, doc_id) f FROM evid JOIN slots USING (qid, id)",
+    "pr": "SELECT toka.qid, sent, pos, doc_id, f, CASE WHEN len(t) > 0 THEN len(list_intersect(s, t)) / len(t) ELSE 0.0 END share, CASE WHEN len(t) > 0 THEN len(list_intersect(s, t)) ELSE 0 END num, CASE WHEN len(s) > 0 THEN len(list_intersect(s, t)) / len(s) END near FROM toka JOIN st ON toka.qid = st.qid",
+    "bd": "SELECT qid, sent, doc_id, f, max((share, num)) sn, max(near) near FROM pr GROUP BY qid, sent, doc_id, f",
+    "ro": "SELECT *, row_number() OVER (PARTITION BY qid, sent ORDER BY sn[1] DESC, sn[2] DESC, f) - 1 a, row_number() OVER (PARTITION BY qid, sent ORDER BY near DESC NULLS LAST, f) - 1 b FROM (SELECT qid, sent, doc_id, f, [sn[1], sn[2]] sn, near FROM (SELECT qid, sent, doc_id, f, [struct_extract(sn, 1), struct_extract(sn, 2)] sn, near FROM bd))",
+}
+
+
+@register("attr_lineage_blend", "SELECT qid, sent, cite, doc_id FROM (SELECT qid, sent, doc_id, row_number() OVER (PARTITION BY qid, sent ORDER BY 0.4 * sn[1] + 0.6 * near DESC NULLS LAST, f) cite FROM ro) WHERE cite <= 2", **RRF_LIN)
+def _(f):
+    return attribute.lineage(f.answers(), f.evidence(), f.slots(), rerank="blend", cosine=rerank.overlap_score, most=2).select("qid", *big("sent", "cite"), "doc_id")
+
+
+@register("attr_lineage_rrf", "SELECT qid, sent, cite, doc_id FROM (SELECT qid, sent, doc_id, row_number() OVER (PARTITION BY qid, sent ORDER BY 1.0 / (60 + a) + 1.0 / (60 + b) DESC, f) cite FROM ro) WHERE cite <= 2", **RRF_LIN)
 def _(f):
     return attribute.lineage(f.answers(), f.evidence(), f.slots(), rerank="rrf", cosine=rerank.overlap_score, most=2).select("qid", *big("sent", "cite"), "doc_id")
 
@@ -685,7 +738,7 @@ def _(f):
     return generate.answers(rows).select("query_id", "ideal_answer", F.size("evidence_ids").alias("n_evidence"), "error")
 
 
-@register("claims_mock", """SELECT id, 'Mock claim ' || substr(md5('"claims" ' || text), 1, 8) || ' states one fact.' AS first FROM ctx""")
+@register("claims_mock", """SELECT id, 'Fact ' || substr(md5('"claims" ' || text), 1, 8) || ' is the first of two.' AS first FROM ctx""")
 def _(f):
     from trovespark.functions.answers import parsed_claims
 
@@ -742,20 +795,35 @@ def _(f):
     return reports.with_titles(f.gold(), f.corpus()).select("qid", "docno", "title")
 
 
-@register("document_route")
+RERANK_TEXT = overlap("query", "trim(concat_ws(' ', nullif(trim(title), ''), nullif(trim(text), '')))")
+ROUTED = RERANKED.replace(overlap("query", "text"), RERANK_TEXT)
+
+
+@register("document_route", "SELECT qid, docno, rank FROM fz", rr=ROUTED, fz=rrf_sql("rr", "lex200", 0.8, 0.19999999999999996, 60, 50, 50, scope="WHERE qid IN (SELECT qid FROM rr)"))
 def _(f):
     from trovespark.plans.config import Settings
     from trovespark.plans.route import document_route
 
-    return document_route(f.corpus(), f.topics(), Settings(candidates=100, k_lexical=200)).select("qid", "docno", *big("rank"))
+    return document_route(f.corpus(), f.topics(), Settings(candidates=100, k_lexical=200), index=f.index()).select("qid", "docno", *big("rank"))
+
+
+@register("hybrid_route", "SELECT qid, docno, rank FROM fz WHERE rank <= 60", dn="SELECT qid, docno, rank FROM (SELECT t.qid, d.docno, row_number() OVER (PARTITION BY t.qid ORDER BY d.score DESC, d.docno) rank FROM (SELECT qid, CAST(CAST(qid AS BIGINT) % 5 * 100 AS VARCHAR) v FROM topics) t JOIN dense d ON d.qid = t.v) WHERE rank <= 40", fz=rrf_sql("lex", "dn", 1.0, 1.0, 60, 50, 40))
+def _(f):
+    from trovespark.plans.config import Settings
+    from trovespark.plans.route import hybrid
+
+    own = f.topics().select("qid", (F.col("qid").cast("bigint") % 5 * 100).cast("string").alias("v"))
+    asked = own.join(f.vectors().select(F.col("docno").alias("v"), "vector"), "v").select("qid", "vector")
+    settings = Settings(k_lexical=50, k_dense=40, fusion_cap=60)
+    return hybrid(f.corpus(), f.topics(), settings, f.vectors(), asked, f.index()).select("qid", "docno", *big("rank"))
 
 
 def queries() -> dict[str, Query]:
+    from trovespark.plans import catalog_files, catalog_rules  # noqa: F401 - they register their queries
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(SQL)
-
-
-__all__ = ["SENT", "Window", "oracle_sql", "queries", "sentence_list"]

@@ -2,17 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from trovespark.frames import materialise, shared_dir
 from trovespark.functions.text import sentences, word_count, words
 from trovespark.operators import lexical
 from trovespark.operators.ranking import by_score, cut
 
 
+#: What a session has worked out and written for a folder of tables: the index, the gold judgements, the first-stage run
+#: and its windows. Every query that starts from one of them reads the stored table.
+_STORED: dict[tuple[str, str, str], object] = {}
+
+
 class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    def once(self, name: str, make: Callable[[], object]):
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _STORED:
+            _STORED[key] = make()
+        return _STORED[key]
+
+    def stored(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        return self.once(name, lambda: materialise(make(), name))
+
+    def scratch(self, suffix: str = "") -> str:
+        """A path of its own in the shared folder."""
+        return f"{shared_dir(self.spark)}/files-{uuid.uuid4().hex}{suffix}"
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
@@ -28,6 +50,9 @@ class Fixtures:
         return lines.select(F.concat("docno", F.lit("#"), F.lpad(F.col("line").cast("string"), 4, "0")).alias("docno"), "text")
 
     def gold(self) -> DataFrame:
+        return self.stored("gold", self._gold)
+
+    def _gold(self) -> DataFrame:
         """Documents that contain a topic's passage. Such a document has the passage's rarest inner word, so only pairs
         that share it are looked at."""
         docs = self.corpus().select("docno", "text")
@@ -40,8 +65,11 @@ class Fixtures:
         pairs = key.join(tokens, "term").select("qid", "query", "docno").join(docs, "docno")
         return pairs.where(F.contains("text", F.col("query"))).select("qid", "docno")
 
+    def index(self) -> lexical.Index:
+        return self.once("index", lambda: lexical.Index.build(self.corpus()))
+
     def lexical_run(self, k: int = 100) -> DataFrame:
-        return lexical.retrieve(self.corpus(), self.topics(), k)
+        return cut(self.stored("lexical-run", lambda: lexical.retrieve(self.index(), self.topics(), 200)), k)
 
     def _shared(self, docs: DataFrame, k: int) -> DataFrame:
         terms = lexical.query_terms(self.topics()).select("qid", "term")
@@ -51,10 +79,10 @@ class Fixtures:
 
     def shared_run(self, k: int = 100) -> DataFrame:
         """Documents by the number of different query words they have."""
-        return self._shared(self.corpus(), k)
+        return cut(self.stored("shared-run", lambda: self._shared(self.corpus(), 100)), k)
 
     def chunk_run(self, k: int = 60) -> DataFrame:
-        return self._shared(self.chunks(), k)
+        return cut(self.stored("chunk-run", lambda: self._shared(self.chunks(), 60)), k)
 
     def scores(self, run: DataFrame) -> DataFrame:
         """A stand-in for rerank scores: the share of the query's words; none for every seventh document."""
@@ -67,9 +95,12 @@ class Fixtures:
         return self.table("embeddings").select(F.col("vec_id").cast("string").alias("docno"), F.col("embedding").alias("vector"), (F.col("vec_id") % 4).cast("int").alias("shard"))
 
     def query_vectors(self) -> DataFrame:
-        return self.table("embeddings").where("vec_id < 20").select(F.col("vec_id").cast("string").alias("qid"), F.col("embedding").alias("vector"))
+        return self.table("embeddings").where("vec_id % 100 = 0").select(F.col("vec_id").cast("string").alias("qid"), F.col("embedding").alias("vector"))
 
     def window_rows(self, stride: int = 1) -> DataFrame:
+        return self.stored(f"windows-{stride}", lambda: self._window_rows(stride))
+
+    def _window_rows(self, stride: int) -> DataFrame:
         """Sentence windows of the 20 best documents of each topic, scored by query words under two fields."""
         from trovespark.operators import windows
 
@@ -122,7 +153,3 @@ class Fixtures:
         """The last assistant turn's sentences: qid, sent, text."""
         last = self.turns().where("role = 'assistant'").groupBy("qid").agg(F.max_by("text", "turn").alias("answer"))
         return last.select("qid", F.posexplode(sentences(F.col("answer"))).alias("sent", "text"))
-
-    @staticmethod
-    def long_rank(rank: str = "rank") -> Column:
-        return F.col(rank).cast("bigint")

@@ -19,14 +19,15 @@ TABLES = {
     "post": "SELECT * FROM allpost WHERE term IN (SELECT term FROM qterms)",
     "dfs": "SELECT term, count(*) df FROM post GROUP BY term",
     "lexscore": "SELECT qid, docno, round(sum(qtf * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))), 6) score FROM qterms JOIN dfs USING (term) JOIN post USING (term), cstats GROUP BY qid, docno",
-    "lex": "SELECT * FROM (SELECT qid, docno, row_number() OVER (PARTITION BY qid ORDER BY score DESC, docno) rank, score FROM lexscore) WHERE rank <= 100",
+    "lex200": "SELECT * FROM (SELECT qid, docno, row_number() OVER (PARTITION BY qid ORDER BY score DESC, docno) rank, score FROM lexscore) WHERE rank <= 200",
+    "lex": "SELECT * FROM lex200 WHERE rank <= 100",
     "sharedscore": f"SELECT qid, docno, CAST(count(*) AS DOUBLE) score FROM (SELECT docno, unnest(list_distinct({TOK.format('text')})) term FROM corpus) JOIN qterms USING (term) GROUP BY qid, docno",
     "shared": "SELECT * FROM (SELECT qid, docno, row_number() OVER (PARTITION BY qid ORDER BY score DESC, docno) rank, score FROM sharedscore) WHERE rank <= 100",
     "chunkscore": f"SELECT qid, docno, CAST(count(*) AS DOUBLE) score FROM (SELECT docno, unnest(list_distinct({TOK.format('text')})) term FROM chunks) JOIN qterms USING (term) GROUP BY qid, docno",
     "chunkrun": "SELECT qid, docno, split_part(docno, '#', 1) p, rank, score FROM (SELECT qid, docno, row_number() OVER (PARTITION BY qid ORDER BY score DESC, docno) rank, score FROM chunkscore) WHERE rank <= 60",
     "scores": f"SELECT qid, docno, CASE WHEN CAST(docno AS BIGINT) % 7 <> 0 THEN round(len(list_intersect(list_distinct({TOK.format('query')}), {TOK.format('text')})) / len(list_distinct({TOK.format('query')})), 6) END score FROM lex JOIN topics USING (qid) JOIN corpus USING (docno)",
     "vecs": "SELECT CAST(vec_id AS VARCHAR) docno, CAST(embedding AS DOUBLE[]) v, vec_id % 4 shard FROM embeddings",
-    "qvecs": "SELECT CAST(vec_id AS VARCHAR) qid, CAST(embedding AS DOUBLE[]) q FROM embeddings WHERE vec_id < 20",
+    "qvecs": "SELECT CAST(vec_id AS VARCHAR) qid, CAST(embedding AS DOUBLE[]) q FROM embeddings WHERE vec_id % 100 = 0",
     "dense": "SELECT * FROM (SELECT qid, docno, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, docno) rank FROM (SELECT qid, docno, round(list_dot_product(q, v), 6) score FROM qvecs, vecs))",
     "sents": f"SELECT docno, {SENT.format('text')} s FROM corpus",
     "wins": f"""SELECT qid, docno, CAST(i AS INTEGER) window_idx, CAST(i AS INTEGER) sent_start, trim(array_to_string(list_slice(s, i + 1, i + 3), ' ')) window_text, query FROM

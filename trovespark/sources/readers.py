@@ -125,12 +125,52 @@ def run(rows: DataFrame, normalise: bool = True, position: str | None = None, ra
     return ranked(out, F.asc(position)).select("qid", "docno", "rank", "score")
 
 
+def in_file_order(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Rows of delimited files with `_at`, a number that grows with their place: files by name, then by place in the file."""
+    rows = spark.read.csv(path, **options).select("*", F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("id")).alias("_at"))
+    return rows
+
+
 def run_file(spark: SparkSession, path: str, normalise: bool = True) -> DataFrame:
-    """A run from TSV with a header, or from Parquet; the file's order is its rows' order within one file."""
+    """A run from TSV with a header, or from Parquet; without ranks and scores its order is that of the files' rows."""
     if path.endswith(".parquet"):
         return run(spark.read.parquet(path), normalise)
+    return run(in_file_order(spark, path, sep="\t", header=True), normalise, "_at", rank_from_score=True)
+
+
+def positional_run(spark: SparkSession, path: str) -> DataFrame:
+    """qid, docno and rank from the first three columns of a TSV with a header, whatever their names; rows whose rank is no
+    number are skipped."""
     rows = spark.read.csv(path, sep="\t", header=True)
-    return run(rows.withColumn("_at", F.monotonically_increasing_id()), normalise, "_at")
+    plain = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])
+    return plain.select(F.col("c0").alias("qid"), F.col("c1").alias("docno"), F.col("c2").try_cast("int").alias("rank")).where("rank is not null")
+
+
+def matching(spark: SparkSession, glob: str) -> list[str]:
+    """The paths that a pattern names, in order, on any file system that Spark knows."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(glob)
+    found = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(place)
+    return sorted(f.getPath().toString() for f in found or [])
+
+
+def recall_sources(spark: SparkSession, folder: str) -> tuple[str, list[str]]:
+    """Where a stage's recall comes from: its per-query tables if it has any, else its runs."""
+    tables = matching(spark, f"{folder}/per_query/*.csv")
+    return ("per_query", tables) if tables else ("runs", matching(spark, f"{folder}/runs/*.tsv"))
+
+
+def metrics_of_folder(spark: SparkSession, folder: str, gold: DataFrame, label: str, ks: tuple[int, ...] = (50,)) -> DataFrame:
+    """A row a run with its label: from the folder's metrics.csv, else worked out from its runs."""
+    if matching(spark, f"{folder}/metrics.csv"):
+        found = spark.read.csv(f"{folder}/metrics.csv", header=True, inferSchema=True)
+        return found if "label" in found.columns else found.withColumn("label", F.lit(label))
+    from trovespark.operators.evaluate import per_query, summary
+
+    names = matching(spark, f"{folder}/runs/*.tsv")
+    if not names:
+        raise ValueError(f"{folder} has neither metrics nor runs")
+    per = [summary(per_query(run_file(spark, name), gold, ks=ks)).withColumn("run", F.lit(name.rstrip("/").rpartition("/")[2].removesuffix(".tsv"))) for name in names]
+    return reduce(DataFrame.unionByName, per).withColumn("label", F.lit(label))
 
 
 def windows(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from trovespark.operators.dense import check_rowids
@@ -35,6 +37,11 @@ def metrics_csv(metrics: DataFrame, path: str, mode: str = "errorifexists") -> N
     metrics.write.mode(mode).csv(path, header=True)
 
 
+def zero_recall_txt(queries: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """The queries (qid) without a hit, one a line."""
+    queries.select(F.col("qid").cast("string").alias("value")).write.mode(mode).text(path)
+
+
 def slim_answers(records: DataFrame) -> DataFrame:
     """Answer records without embedded windows, rejected windows and window numbers."""
     out = records.drop("doc_snippet_windows")
@@ -56,10 +63,15 @@ def done(spark: SparkSession, path: str) -> bool:
 
 
 def once(spark: SparkSession, path: str, make, log: list | None = None) -> DataFrame:
-    """The table at a path, made and written if it isn't there; `log` gets a line for either."""
-    ready = done(spark, path)
+    """The table at a path, made and written if it isn't there; `log` gets a row for either: path, what was done, seconds."""
+    begun, ready = time.monotonic(), done(spark, path)
     if not ready:
         make().write.mode("overwrite").parquet(path)
     if log is not None:
-        log.append((path, "kept" if ready else "made"))
+        log.append((path, "kept" if ready else "made", round(time.monotonic() - begun, 3)))
     return spark.read.parquet(path)
+
+
+def log_lines(spark: SparkSession, log: list, path: str) -> None:
+    """A log's rows behind those that the file has already."""
+    spark.createDataFrame(log, "path string, done string, seconds double").write.mode("append").csv(path, sep="\t", header=True)
