@@ -1,3 +1,4 @@
+import numpy as np
 import public_tokenizers as P
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -6,7 +7,7 @@ from trovespark.llm import tokencount
 
 PATH = P.path("word_bpe_49k.json")
 LIB = Tokenizer.from_file(PATH)
-COUNTS = tokencount.PieceCounts(PATH)
+COUNTS = tokencount.Splitter(PATH)
 
 
 def expected(text):
@@ -48,3 +49,20 @@ def test_special_strings_in_rows(spark):
     df = spark.createDataFrame([(1, "a <|startoftext|> b"), (2, "<|endoftext|>"), (3, "<|endoftext|>" * 2048)], "doc_id long, text string")
     got = {r.doc_id: (r.n_tokens, r.over_limit) for r in tokencount.count_tokens(df, PATH, 2048).collect()}
     assert got == {1: (3, False), 2: (1, False), 3: (2048, False)}
+
+
+def test_same_counts_however_blocks_and_buckets_are_cut(spark, monkeypatch):
+    rows = [(i, f"the cat{i % 7} sat on <|endoftext|> mats{i} " * (i % 4)) for i in range(120)] + [(None, None), (7, "x" * 5000), (8, "é世\u0301 the")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for block, bucket in ((2000, 2_000_000), (7, 20)):
+        monkeypatch.setattr(tokencount, "BLOCK_ROWS", block)
+        monkeypatch.setattr(tokencount, "BUCKET_SIZE", bucket)
+        got = tokencount.count_tokens(df, PATH).collect()
+        assert sorted((r.doc_id or -1, r.n_bytes, r.n_tokens) for r in got) == sorted((d or -1, len((t or "").encode()), expected(t or "")) for d, t in rows)
+
+
+def test_buckets_share_all_keys():
+    keys = np.array([0, 1, 1 << 31, (1 << 32) - 1], np.uint64)
+    for buckets in (1, 2, 3, 1000):
+        cut = tokencount._buckets(keys, buckets)
+        assert cut[0] == 0 and cut[-1] == 4 and (np.diff(cut) >= 0).all()

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from trovespark.frames import materialise, pick, release, slices
 from trovespark.llm.langid import held_out
+from trovespark.llm.packed import pack, unpack
 from trovespark.llm.stirling import draw, log_gamma, log_numbers
 from trovespark.llm.words import word_numbers
 
@@ -48,20 +49,6 @@ BLOCKS = "block bigint, doc_ids array<bigint>, held binary, starts binary, words
 KINDS = {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64())}
 
 
-def pack(values: np.ndarray) -> bytes:
-    """An array as bytes: its bytes by place, compressed. Counts and places mostly have empty high bytes."""
-    plain = np.ascontiguousarray(values)
-    planes = plain.view(np.uint8).reshape(-1, plain.itemsize).T.tobytes()
-    return len(planes).to_bytes(8, "little") + (pa.compress(planes, codec="zstd", asbytes=True) if planes else b"")
-
-
-def unpack(raw: bytes, kind: type) -> np.ndarray:
-    size = int.from_bytes(raw[:8], "little")
-    planes = pa.decompress(raw[8:], decompressed_size=size, codec="zstd", asbytes=True) if size else b""
-    item = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(item, -1).T).view(kind).reshape(-1)
-
-
 def _names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
