@@ -72,3 +72,35 @@ def test_blocks_on_few_pages_of_a_large_host_go(spark):
     for few in (htmltext.BROADCAST_HASHES, 0):
         got = {r.page_id: r.text for r in htmltext.extract(df, broadcast_hashes=few).collect()}
         assert got == {i: f"story {i} of the day" for i in range(100)}
+
+
+PARAGRAPH = "Words of an article that go on for a while, with names, places and dates in them."
+
+
+def test_words_in_names_of_article_blocks_do_not_delete_them():
+    for name in ("related-work", "social-history", "search-results", "share-prices", "reply-letter", "notice"):
+        page = f'<html><body><nav>menu</nav><article><h1>Head</h1><div class="{name}"><p>{PARAGRAPH}</p></div></article></body></html>'
+        assert Page(page).text() == f"Head {PARAGRAPH}", name
+    for name in ("share", "related", "sidebar-left", "site-footer", "cookie-notice", "ad top", "comments"):
+        page = f'<html><body><article><h1>Head</h1><p>{PARAGRAPH}</p><div class="{name}"><p>Other</p></div></article><div class="{name}">Else</div></body></html>'
+        assert Page(page).text() == f"Head {PARAGRAPH}", name
+
+
+def test_teaser_articles_are_not_the_page():
+    page = f"<html><body><header><p>Site</p></header><div><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div><article>Read more</article></body></html>"
+    assert Page(page).text() == f"{PARAGRAPH} {PARAGRAPH} Read more"
+    page = f"<html><body><main><h1>Head</h1><p>{PARAGRAPH}</p><article><p>{PARAGRAPH} two</p></article></main><div>left over</div></body></html>"
+    assert Page(page).text().startswith(PARAGRAPH[:5]) or Page(page).text().startswith("Head")
+
+
+def test_hand_labelled_pages(spark):
+    """Whole texts written by hand, of a site whose menu, notice and prose boilerplate say nothing by name."""
+    def page(i):
+        own = f"<h1>Story {i}</h1><p>{PARAGRAPH} Number {i}.</p><blockquote>A quote that {'two' if i < 2 else 'one'} share{' ' * (i > 1)}{i if i > 1 else ''}</blockquote>"
+        return f'<html><head><title>t</title></head><body><div><a href="/">Home</a> <a href="/n">News</a></div><article>{own}<p>Write to us if you like this story.</p></article><div>We use cookies on this site.</div><section><h2>What readers say</h2><p class="comment">nice {i}</p></section></body></html>'
+
+    rows = [(i, f"https://site.example/{i}", page(i)) for i in range(30)]
+    want = {i: f"Story {i} {PARAGRAPH} Number {i}. A quote that two share" if i < 2 else f"Story {i} {PARAGRAPH} Number {i}. A quote that one share {i}" for i in range(30)}
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for few in (htmltext.BROADCAST_HASHES, 0):
+        assert {r.page_id: r.text for r in htmltext.extract(df, broadcast_hashes=few).collect()} == want

@@ -4,8 +4,10 @@ A page is read once into a flat list of elements and texts. Every block-level el
 children's hashes). Spark counts, for each host, on how many different pages each subtree stands; subtrees on many pages
 of a host are its template and are deleted from all its pages. Pages with equal bodies count once, so that copies of a
 page don't make a template of its article. Elements that say what they are (navigation, forms, adverts by class, ...) go
-too, as one page is enough to tell. Inside a marked article recurring prose stays, for quoting a text is no template;
-only recurring containers made of links go.
+too, as one page is enough to tell: by their tag or role, or by a class or id that is such a name as a whole ('related' or
+'sidebar-left', not 'related-work'). Inside a marked article prose goes only when it recurs on `PROSE_TIMES` as many pages,
+for texts quote each other; and a named block that holds most of the article is the article. A marked article that holds
+less text than the page around it is a teaser, and the whole page is taken.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 import xxhash
@@ -36,6 +39,8 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer disqus footer gdpr login menu modal nav navbar navigation newsletter notice notices pager pagination paywall popup promo promotion recommended related reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+#: Words that a name may have beside it without meaning something else, as in 'sidebar-left' or 'site-footer'.
+BESIDE = frozenset("area bar block bottom box btn button buttons col column container content footer form foot global group header head inner item items left links list main main outer page panel primary right row secondary section site slot sticky text thread top unit wrap wrapper".split())
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
 END_OR_QUOTE = re.compile(r"[>\"']")
@@ -43,9 +48,18 @@ HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 #: A subtree is template from so many different pages of its host on, however many pages the host has.
 MIN_PAGES = 5
-#: Template hashes that may be broadcast; with more, each page is joined to its own ones.
-BROADCAST_HASHES = 500_000
+#: Templates (two numbers and a host) that may be broadcast; with more, each page is joined to its own ones.
+BROADCAST_HASHES = 200_000
 LINKS_FROM = 0.3
+#: How many times as many pages prose in a marked article must recur on to be template.
+PROSE_TIMES = 4
+
+
+@cache
+def names_a_side_block(name: str) -> bool:
+    """Whether a class or id as a whole names what isn't an article: one of `NAMES`, alone or with words that add nothing."""
+    words = [w for w in re.split(r"[^a-z]+", name) if len(w) > 1]
+    return any(w in NAMES for w in words) and all(w in NAMES or w in BESIDE for w in words)
 
 
 class Page:
@@ -183,11 +197,12 @@ class Page:
                 return True
             if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 return True
-            if key in ("class", "id") and not NAMES.isdisjoint(re.split(r"[^a-z]+", value)):
+            if key in ("class", "id") and any(map(names_a_side_block, value.split())):
                 return True
         return False
 
-    def text(self, template: frozenset[int] | set[int] = frozenset()) -> str:
+    def text(self, template: frozenset[int] | set[int] = frozenset(), often: frozenset[int] | set[int] = frozenset()) -> str:
+        """The article's text, without the subtrees of `template`; `often` are those that go from an article's prose too."""
         n = len(self.tags)
         holds = [False] * n  # an article or main element
         for i in range(n - 1, 0, -1):
@@ -204,13 +219,21 @@ class Page:
         for i in range(n - 1, 0, -1):
             size[self.parents[i]] += size[i]
             linked[self.parents[i]] += linked[i]
-        gone, article, heads = [False] * n, [False] * n, [False] * n
+        gone, article, heads, of = [False] * n, [False] * n, [False] * n, [0] * n  # of: the marked article around
         for i in range(1, n):
             parent, tag = self.parents[i], self.tags[i]
-            article[i] = article[parent] or tag in ("article", "main")
-            own = self._says_so(i) and not (holds[i] and tag not in ("article", "main"))
-            if not own and tag not in ("html", "body", "article", "main") and not holds[i] and self.hashes[i] in template and self.hashes[i]:
-                own = tag not in PROSE and linked[i] >= LINKS_FROM * size[i] if article[i] else True
+            marked = tag in ("article", "main")
+            article[i], of[i] = article[parent] or marked, i if marked else of[parent]
+            own = self._says_so(i) and not (holds[i] and not marked)
+            if own and article[i] and not marked and tag not in DROPPED and 2 * size[i] > size[of[i]]:
+                own = False
+            if not own and tag not in ("html", "body") and not marked and not holds[i] and self.hashes[i]:
+                if not article[i]:
+                    own = self.hashes[i] in template
+                elif tag in PROSE:
+                    own = self.hashes[i] in often
+                else:
+                    own = self.hashes[i] in often or self.hashes[i] in template and linked[i] >= LINKS_FROM * size[i]
             heads[i] = heads[parent] or tag == "header" and not holds[i]
             gone[i] = gone[parent] or own
         for i in range(n):  # of a header, an article keeps its headings
@@ -219,13 +242,12 @@ class Page:
                 while up and self.tags[up] not in HEADINGS and self.tags[up] != "header":
                     up = self.parents[up]
                 gone[i] = not (article[i] and self.tags[up] in HEADINGS)
+        whole = sum(len(text) for node, text in self.events if text and not gone[node] and not in_link[node])
         for region in ("article", "main", ""):
             inside = [not region] * n
             for i in range(1, n):
                 inside[i] = inside[self.parents[i]] or self.tags[i] == region
-            if region and not any(inside[i] and not gone[i] for i in range(1, n)):
-                continue
-            blocks, now = [], []
+            blocks, now, prose = [], [], 0
             for node, text in self.events:
                 if text is None:
                     if now:
@@ -233,8 +255,10 @@ class Page:
                         now = []
                 elif inside[node] and not gone[node]:
                     now.append(text)
+                    prose += 0 if in_link[node] else len(text)
             blocks.append("".join(now))
-            if out := " ".join(" ".join(blocks).split()):
+            out = " ".join(" ".join(blocks).split())
+            if out and (not region or 2 * prose >= whole):
                 return out
         return ""
 
@@ -268,19 +292,21 @@ def subtrees(pages: DataFrame) -> DataFrame:
 
 
 def templates(found: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """host and hash: the subtrees that recur on at least min_pages pages of the host with different bodies."""
+    """host, hash and often: the subtrees that recur on at least min_pages pages of the host with different bodies, and
+    whether they do so on `PROSE_TIMES` as many. A table to release."""
     counts = found.select("host", "hash", "body").distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
-    return materialise(counts.where(F.col("n") >= min_pages).select("host", "hash"), "html-templates")
+    return materialise(counts.where(F.col("n") >= min_pages).select("host", "hash", (F.col("n") >= PROSE_TIMES * min_pages).alias("often")), "html-templates")
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _texts(batches: Iterator[pa.RecordBatch], sent=None) -> Iterator[pa.RecordBatch]:
+    """Texts of (page_id, url, html) with either the host, whose templates are in `sent`, or the page's own two lists."""
+    none = (frozenset(), frozenset())
     for batch in slices(batches, 1000):
-        texts, held, last = [], frozenset(), None
-        for source, own in zip(batch.column(2), batch.column(3)):
-            own = own.as_py() or ()
-            if own != last:
-                held, last = frozenset(own), own
-            texts.append(Page(source.as_py() or "").text(held))
+        if sent is not None:
+            held = [sent.value.get(host.as_py(), none) for host in batch.column(3)]
+        else:
+            held = [(frozenset(a.as_py() or ()), frozenset(b.as_py() or ())) for a, b in zip(batch.column(3), batch.column(4))]
+        texts = [Page(source.as_py() or "").text(*own) for source, own in zip(batch.column(2), held)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
 
@@ -288,20 +314,28 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, broadcast_hashes: int
     """page_id, url, text (empty if none) and n_chars of every page.
 
     A null html counts as empty; a null url or one without a host belongs to host ''. Repeated rows give repeated rows,
-    an empty table none; other columns are left out whatever their names. The templates are broadcast by host if they are
-    few enough; otherwise each page is joined to those that it holds, so that memory is bounded by a page's subtrees.
+    an empty table none; other columns are left out whatever their names. There are no ties. The templates are broadcast
+    if they are few enough; otherwise each different page is joined to those that it holds itself, so that no task has a
+    host's whole list, however many pages or templates a host has. Both ways give the same texts.
     """
+    schema = "page_id bigint, url string, text string, n_chars bigint"
     rows = pick(pages, page_id="bigint", url="string", html="string")
     there = subtrees(rows)
     found = templates(there, min_pages)
-    named = rows.withColumn("host", host_of(F.col("url")))
+    named = rows.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     if found.count() <= broadcast_hashes:
-        lists = found.groupBy("host").agg(F.collect_list("hash").alias("hashes"))
-        joined = named.join(F.broadcast(lists), "host", "left")
+        by_host: dict[str, tuple[set[int], set[int]]] = {}
+        for r in found.toLocalIterator():
+            every, often = by_host.setdefault(r.host, (set(), set()))
+            every.add(r.hash)
+            if r.often:
+                often.add(r.hash)
+        sent = pages.sparkSession.sparkContext.broadcast(by_host)
+        out = named.select("page_id", "url", "html", "host").mapInArrow(lambda b: _texts(b, sent), schema)
     else:
         own = there.select("host", "hash", "source").distinct().join(found, ["host", "hash"])
-        lists = materialise(own.groupBy("host", "source").agg(F.collect_list("hash").alias("hashes")), "html-page-templates")
+        lists = own.groupBy("host", "source").agg(F.collect_list("hash").alias("hashes"), F.collect_list(F.when(F.col("often"), F.col("hash"))).alias("often"))
         joined = named.withColumn("source", source_of(F.col("html"))).join(lists, ["host", "source"], "left")
-    out = joined.select("page_id", "url", "html", "hashes").mapInArrow(_texts, "page_id bigint, url string, text string, n_chars bigint")
-    release(there)
+        out = materialise(joined.select("page_id", "url", "html", "hashes", "often").mapInArrow(_texts, schema), "html-texts")
+    release(there, found)
     return out
