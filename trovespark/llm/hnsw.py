@@ -1,15 +1,15 @@
 """Approximate nearest neighbours by one hierarchical navigable small-world graph per shard.
 
 Vectors are dealt to shards of bounded size by a hash of their id. In a shard equal vectors are one node; nodes get
-random levels and are inserted in random order: a node's candidates on each of its levels are the nearest of the nodes
-inserted before it (found exactly, block by block, as a shard is small), of which a spread-out few become its neighbours
-and link back. A graph is stored as flat arrays of neighbour numbers. Searches walk down the levels of every shard, and
-the shards' results are merged. Every row is indexed.
+random levels and are inserted in random order, in batches: a batch walks down the levels of the graph so far, greedily
+above a node's level and with a wide beam from there on, and of what a beam finds (and of the batch's own nodes) a
+spread-out few become the node's neighbours and link back. A graph is stored as flat arrays of neighbour numbers. Beams
+walk for many queries in step, by array operations. Searches walk down the levels of every shard, and the shards' results
+are merged. Every row is indexed.
 """
 
 from __future__ import annotations
 
-import heapq
 import math
 
 import numpy as np
@@ -46,12 +46,54 @@ def spread(distance: np.ndarray, between: np.ndarray, most: int) -> list[int]:
     return chosen + rest[: most - len(chosen)]
 
 
+#: Nodes inserted in one batch, and queries that walk in step.
+BATCH = 256
+
+
+def beam(vectors: np.ndarray, table: np.ndarray, queries: np.ndarray, entries: np.ndarray, breadth: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each query the nodes that a best-first walk from its entry finds, nearest first, and their squared distances:
+    `breadth` columns, -1 and infinity where there are fewer. `table` has a row of neighbours (-1: none) for each node."""
+    q = len(queries)
+    rows, seen = np.arange(q), np.zeros((q, len(vectors) + 1), bool)
+    seen[:, -1] = True  # where a neighbour number of -1 points
+    ids, far, done = np.full((q, breadth), -1, np.int64), np.full((q, breadth), np.inf), np.ones((q, breadth), bool)
+    gap = vectors[entries] - queries
+    ids[:, 0], far[:, 0], done[:, 0], seen[rows, entries] = entries, (gap * gap).sum(1), False, True
+    while len(rows):
+        waiting = np.where(done[rows], np.inf, far[rows])
+        at = waiting.argmin(1)
+        live = waiting[np.arange(len(rows)), at] < np.inf
+        rows, at = rows[live], at[live]
+        if not len(rows):
+            break
+        done[rows, at] = True
+        around = table[ids[rows, at]]
+        of, place = np.nonzero(~seen[rows[:, None], around])
+        node = around[of, place]
+        seen[rows[of], node] = True
+        gap = vectors[node] - queries[rows[of]]
+        new = np.full(around.shape, np.inf)
+        new[of, place] = np.einsum("ij,ij->i", gap, gap)
+        both = np.concatenate([far[rows], new], 1)
+        keep = np.argpartition(both, breadth - 1, 1)[:, :breadth]
+        far[rows] = np.take_along_axis(both, keep, 1)
+        ids[rows] = np.take_along_axis(np.concatenate([ids[rows], around], 1), keep, 1)
+        done[rows] = np.take_along_axis(np.concatenate([done[rows], ~np.isfinite(new)], 1), keep, 1)
+    ids[~np.isfinite(far)] = -1
+    order = np.lexsort((ids, far), axis=1)
+    return np.take_along_axis(ids, order, 1), np.take_along_axis(far, order, 1)
+
+
 class Graph:
-    """A shard's graph: for each level its nodes and a row of neighbour numbers (-1: none) for each of them."""
+    """A shard's graph: for each level a row of neighbour numbers (-1: none) for each of its nodes; all nodes are on level 0."""
 
     def __init__(self, vectors: np.ndarray, levels: np.ndarray, nodes: list[np.ndarray], neighbours: list[np.ndarray]):
         self.vectors, self.levels, self.nodes, self.neighbours = vectors, levels, nodes, neighbours
-        self.rows = [None, *({int(n): i for i, n in enumerate(level)} for level in nodes[1:])]
+        self.tables = [neighbours[0]] if neighbours else []
+        for level, own in zip(nodes[1:], neighbours[1:]):
+            table = np.full((len(vectors), own.shape[1]), -1, np.int32)
+            table[level] = own
+            self.tables.append(table)
         self.entry = int(np.argmax(levels)) if len(levels) else -1
 
     @classmethod
@@ -60,97 +102,75 @@ class Graph:
         rng = np.random.default_rng(seed)
         levels = np.minimum((-np.log(1 - rng.random(n)) / math.log(links)).astype(np.uint8), 15)
         order = rng.permutation(n)
-        nodes, neighbours = [], []
-        for level in range(int(levels.max(initial=0)) + 1):
-            own = order[levels[order] >= level]
-            most = ground if level == 0 else links
-            table = cls._level(vectors[own], most, breadth)
-            back = np.full((len(own), most), -1, np.int32)
-            back[:] = np.where(table >= 0, own[table], -1)
-            if level == 0:
-                flat = np.full((n, most), -1, np.int32)
-                flat[own] = back
-                nodes.append(np.arange(n, dtype=np.int32))
-                neighbours.append(flat)
-            else:
-                nodes.append(own.astype(np.int32))
-                neighbours.append(back)
-        return cls(vectors, levels, nodes, neighbours)
+        most = [ground, *[links] * int(levels.max(initial=0))]
+        rooms = [np.full((n, 2 * m), -1, np.int32) for m in most]
+        used = [np.zeros(n, np.int32) for _ in most]
 
-    @staticmethod
-    def _level(vectors: np.ndarray, most: int, breadth: int) -> np.ndarray:
-        """Neighbour table of nodes inserted in the given order."""
-        n, room = len(vectors), 2 * most
-        table, used = np.full((n, room), -1, np.int32), np.zeros(n, np.int32)
-
-        def prune(i: int) -> None:
-            found = np.unique(table[i, : used[i]])
+        def pruned(level: int, i: int) -> None:
+            found = np.unique(rooms[level][i, : used[level][i]])
             away = squared(vectors[i : i + 1], vectors[found])[0]
             near = np.argsort(away, kind="stable")
             found, away = found[near], away[near]
-            kept = found[spread(away, squared(vectors[found], vectors[found]), most)]
-            table[i] = -1
-            table[i, : len(kept)], used[i] = kept, len(kept)
-
-        for begin in range(1, n, 256):
-            end = min(n, begin + 256)
-            away = squared(vectors[begin:end], vectors[:end])
-            for i in range(begin, end):
-                row = away[i - begin, :i]
-                near = np.argpartition(row, breadth)[:breadth] if i > breadth else np.arange(i)
-                near = near[np.lexsort((near, row[near]))]
-                chosen = near[spread(row[near], squared(vectors[near], vectors[near]), most // 2)]
-                table[i, : len(chosen)], used[i] = chosen, len(chosen)
-                for j in chosen:
-                    if used[j] == room:
-                        prune(j)
-                    table[j, used[j]] = i
-                    used[j] += 1
-        for i in np.flatnonzero(used > most):
-            prune(i)
-        return table[:, :most]
-
-    def _walk(self, query: np.ndarray, entry: int, level: int, breadth: int) -> list[tuple[float, int]]:
-        """The nearest nodes that a best-first walk of the level finds, nearest first."""
-        vectors, table, rows = self.vectors, self.neighbours[level], self.rows[level]
-        first = vectors[entry] - query
-        away = float(first @ first)
-        seen = np.zeros(len(vectors), bool)
-        seen[entry] = True
-        open_, best = [(away, entry)], [(-away, entry)]
-        while open_:
-            away, node = heapq.heappop(open_)
-            if away > -best[0][0] and len(best) >= breadth:
-                break
-            around = table[node if rows is None else rows[node]]
-            around = around[around >= 0]
-            around = around[~seen[around]]
-            if not len(around):
-                continue
-            seen[around] = True
-            gap = vectors[around] - query
-            far = np.einsum("ij,ij->i", gap, gap)
-            if len(best) >= breadth:
-                inside = far < -best[0][0]
-                around, far = around[inside], far[inside]
-            for a, i in zip(far.tolist(), around.tolist()):
-                if len(best) < breadth:
-                    heapq.heappush(best, (-a, i))
-                elif a < -best[0][0]:
-                    heapq.heapreplace(best, (-a, i))
+            kept = found[spread(away, squared(vectors[found], vectors[found]), most[level])]
+            rooms[level][i] = -1
+            rooms[level][i, : len(kept)], used[level][i] = kept, len(kept)
+
+        def linked(level: int, i: int, found: np.ndarray, away: np.ndarray) -> None:
+            chosen = found[spread(away, squared(vectors[found], vectors[found]), most[level] // 2)]
+            for a, others in ((i, chosen), *((j, (i,)) for j in chosen.tolist())):
+                for other in others:
+                    if used[level][a] == 2 * most[level]:
+                        pruned(level, a)
+                    rooms[level][a, used[level][a]] = other
+                    used[level][a] += 1
+
+        entry, at = int(order[0]) if n else -1, 1
+        while at < n:
+            batch = order[at : at + max(1, min(BATCH, at // 2))]
+            starts, within = np.full(len(batch), entry), squared(vectors[batch], vectors[batch])
+            for level in range(len(most) - 1, -1, -1):
+                if level > levels[entry]:
+                    nearest = None  # no node inserted so far is on this level
                 else:
-                    continue
-                heapq.heappush(open_, (a, i))
-        return sorted((-a, i) for a, i in best)
+                    nearest = np.full((len(batch), breadth), -1, np.int64), np.full((len(batch), breadth), np.inf)
+                    for wide, own in ((1, np.flatnonzero(levels[batch] < level)), (breadth, np.flatnonzero(levels[batch] >= level))):
+                        if len(own):
+                            ids, far = beam(vectors, rooms[level], vectors[batch[own]], starts[own], wide)
+                            nearest[0][own, :wide], nearest[1][own, :wide] = ids, far
+                            starts[own] = ids[:, 0]
+                for j in np.flatnonzero(levels[batch] >= level):
+                    mates = np.flatnonzero(levels[batch[:j]] >= level)
+                    found, away = batch[mates], within[j, mates]
+                    if nearest is not None:
+                        real = nearest[0][j] >= 0
+                        found, away = np.concatenate([nearest[0][j][real], found]), np.concatenate([nearest[1][j][real], away])
+                    near = np.lexsort((found, away))[:breadth]
+                    if len(near):
+                        linked(level, int(batch[j]), found[near], away[near])
+            entry = max([entry, *batch.tolist()], key=lambda i: levels[i])
+            at += len(batch)
+        nodes, neighbours = [], []
+        for level, m in enumerate(most):
+            for i in np.flatnonzero(used[level] > m):
+                pruned(level, int(i))
+            own = np.flatnonzero(levels >= level).astype(np.int32)
+            nodes.append(own)
+            neighbours.append(np.ascontiguousarray(rooms[level][own, :m]))
+        return cls(vectors, levels, nodes, neighbours)
 
     def search(self, query: np.ndarray, breadth: int) -> np.ndarray:
         """Numbers of the nodes found nearest to the query, nearest first."""
+        found = self.search_all(query[None], breadth)[0]
+        return found[found >= 0]
+
+    def search_all(self, queries: np.ndarray, breadth: int) -> np.ndarray:
+        """For each query the nodes found nearest, nearest first; -1 fills up."""
         if self.entry < 0:
-            return np.zeros(0, np.int64)
-        at = self.entry
-        for level in range(len(self.nodes) - 1, 0, -1):
-            at = self._walk(query, at, level, 1)[0][1]
-        return np.array([i for _, i in self._walk(query, at, 0, breadth)])
+            return np.zeros((len(queries), 0), np.int64)
+        at = np.full(len(queries), self.entry)
+        for table in self.tables[:0:-1]:
+            at = beam(self.vectors, table, queries, at, 1)[0][:, 0]
+        return beam(self.vectors, self.tables[0], queries, at, min(breadth, len(self.vectors)))[0]
 
 
 def usable(vector: Column) -> Column:
@@ -168,7 +188,7 @@ def _build(group: pd.DataFrame) -> pd.DataFrame:
     graph = Graph.build(vectors, int(group.shard.iloc[0]))
     sizes = np.array([len(x) for x in graph.nodes[1:]], np.int32)
     nodes = np.concatenate([np.array([len(sizes)], np.int32), sizes, *graph.nodes[1:]]).astype(np.int32)
-    row = (int(group.dim.iloc[0]), int(group.shard.iloc[0]), ids.tobytes(), starts.tobytes(), vectors.tobytes(), graph.levels.tobytes(), nodes.tobytes(), b"".join(x.tobytes() for x in graph.neighbours))
+    row = (int(group.dim.iloc[0]), int(group.shard.iloc[0]), ids.tobytes(), starts.tobytes(), vectors.tobytes(), graph.levels.tobytes(), nodes.tobytes(), b"".join(t[own].tobytes() for t, own in zip(graph.tables, graph.nodes)))
     return pd.DataFrame([row], columns=[c.split()[0] for c in INDEX.split(", ")])
 
 
@@ -204,20 +224,24 @@ def _answer(index: pd.DataFrame, queries: pd.DataFrame, k: int, breadth: int) ->
     out: list[tuple[int, int, float]] = []
     for row in index.itertuples():
         graph, ids, starts = read_graph(row)
-        for query_id, vector in zip(queries.query_id, queries.vector):
-            query, wide = np.asarray(vector, np.float64), max(breadth, 4 * k)
-            while True:
-                found: dict[int, float] = {}
-                for node in graph.search(query, wide):
-                    gap = graph.vectors[node] - query
-                    away = float(np.sqrt((gap * gap).sum()))
-                    for i in ids[starts[node] : min(starts[node + 1], starts[node] + k + 1)].tolist():  # distinct: k others
-                        if i != query_id:
-                            found[i] = min(away, found.get(i, away))
-                if len(found) >= k or wide >= len(graph.vectors):
-                    break
-                wide *= 2
-            out += [(int(query_id), i, away) for away, i in sorted((away, i) for i, away in found.items())[:k]]
+        asked, points = queries.query_id.to_numpy(np.int64), np.array(queries.vector.tolist(), np.float64).reshape(len(queries), -1)
+        for at in range(0, len(queries), BATCH):
+            left, wide = np.arange(at, min(at + BATCH, len(queries))), max(breadth, 4 * k)
+            while len(left):  # wider where repeated ids leave fewer than k others
+                again = []
+                for i, near in zip(left.tolist(), graph.search_all(points[left], wide)):
+                    found: dict[int, float] = {}
+                    for node in near[near >= 0].tolist():
+                        gap = graph.vectors[node] - points[i]
+                        away = float(np.sqrt((gap * gap).sum()))
+                        for other in ids[starts[node] : min(starts[node + 1], starts[node] + k + 1)].tolist():  # distinct: k others
+                            if other != asked[i]:
+                                found[other] = min(away, found.get(other, away))
+                    if len(found) < k and wide < len(graph.vectors):
+                        again.append(i)
+                    else:
+                        out += [(int(asked[i]), other, away) for away, other in sorted((away, other) for other, away in found.items())[:k]]
+                left, wide = np.array(again, np.int64), 2 * wide
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
 
