@@ -224,10 +224,10 @@ def _(f):
 
 @register("run_log", "SELECT 'made' done, 1 n UNION ALL SELECT 'kept', 1")
 def _(f):
-    path, table, log = f.scratch(), f.scratch(), []
+    path, table, log, seconds = f.scratch(), f.scratch(), [], []
     for _ in range(2):
-        sinks.once(f.spark, table, f.topics, log)
-    sinks.log_lines(f.spark, log, path)
+        sinks.once(f.spark, table, f.topics, log, seconds)
+    sinks.log_lines(f.spark, log, seconds, path)
     back = f.spark.read.csv(path, sep="\t", header=True, schema="path string, done string, seconds double")
     return back.where("seconds >= 0").groupBy("done").agg(F.count(F.lit(1)).cast("int").alias("n"))
 

@@ -62,16 +62,19 @@ def done(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
 
 
-def once(spark: SparkSession, path: str, make, log: list | None = None) -> DataFrame:
-    """The table at a path, made and written if it isn't there; `log` gets a row for either: path, what was done, seconds."""
+def once(spark: SparkSession, path: str, make, log: list | None = None, seconds: list | None = None) -> DataFrame:
+    """The table at a path, made and written if it isn't there; `log` gets a row for either, `seconds` how long it took."""
     begun, ready = time.monotonic(), done(spark, path)
     if not ready:
         make().write.mode("overwrite").parquet(path)
     if log is not None:
-        log.append((path, "kept" if ready else "made", round(time.monotonic() - begun, 3)))
+        log.append((path, "kept" if ready else "made"))
+    if seconds is not None:
+        seconds.append(round(time.monotonic() - begun, 3))
     return spark.read.parquet(path)
 
 
-def log_lines(spark: SparkSession, log: list, path: str) -> None:
-    """A log's rows behind those that the file has already."""
-    spark.createDataFrame(log, "path string, done string, seconds double").write.mode("append").csv(path, sep="\t", header=True)
+def log_lines(spark: SparkSession, log: list, seconds: list, path: str) -> None:
+    """A log's rows (path, what was done, seconds) behind those that the file has already."""
+    rows = [(*entry, took) for entry, took in zip(log, seconds)]
+    spark.createDataFrame(rows, "path string, done string, seconds double").write.mode("append").csv(path, sep="\t", header=True)
