@@ -12,7 +12,7 @@ def signed(text):
     out = set()
     for i, (w, common) in enumerate(marked):
         if not common and i and marked[i - 1][1]:
-            out.add((words[i - 1], w, next((x for x, c in marked[i + 1 : i + 1 + S.REACH] if not c), "")))
+            out.add((words[i - 1], w, next((x for x, c in marked[i + 1 :] if not c), "")))
     return out or {(a, b) for a, b in zip(words, [*words[1:], ""])} or ({text} if text else set())
 
 
@@ -81,3 +81,22 @@ def test_near_pairs_by_brute_force(spark):
 def test_plans_have_no_python(spark):
     plan = S.edit_report(spark.createDataFrame([(5, "the big cat")], "doc_id long, text string"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_the_next_content_word_may_be_far_away(spark):
+    near, far = "the cat " + "of the " * 20 + "dog", "the cat " + "of the " * 20 + "bird"
+    rows = spark.createDataFrame([(1, near), (2, far)], "doc_id long, text string")
+    got = {r.doc_id: set(r.signatures) for r in S.fingerprints(rows).collect()}
+    assert len(got[1]) == 2 and not got[1] & got[2]
+
+
+def test_rows_of_one_id_are_cut_into_stretches(spark, monkeypatch):
+    monkeypatch.setattr(S, "STRETCH_ROWS", 20)
+    rng = np.random.default_rng(6)
+    rows = [(7, prose(rng, 12)) for _ in range(150)] + [(None, prose(rng, 12)) for _ in range(90)] + [(i, prose(rng, 12)) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = S.edit_report(df).collect()
+    assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256) for r in got) == sorted((str(d), n, h) for d, n, h, *_ in expected(rows))
+    begun = S.fingerprints(df).withColumn("begins", S.opening(S.F.col("text")))
+    sizes = [r["count"] for r in begun.groupBy(S._stretch(begun.select("doc_id", "begins"), 300)).count().collect()]
+    assert max(sizes) < 60

@@ -26,8 +26,6 @@ COMMON = sorted(
     )
 )
 WORD = r"[\p{L}\p{M}\p{N}]+"
-#: How many words after the first content word the next one is looked for.
-REACH = 8
 MARK = "~"
 
 
@@ -45,15 +43,16 @@ def signatures(text: Column) -> Column:
     words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
     marked = F.transform(words, lambda w: F.when(w.isin(COMMON), F.concat(F.lit(MARK), w)).otherwise(w))
 
-    def content(word: Column) -> Column:
-        return F.when(~word.startswith(MARK), word)
-
     def chained(all_: Column) -> Column:
-        def sign(word: Column, i: Column) -> Column:
-            following = F.coalesce(*(content(F.get(all_, i + k)) for k in range(1, REACH + 1)), F.lit(""))
-            return F.when(~word.startswith(MARK) & F.get(all_, i - 1).startswith(MARK), F.xxhash64(F.get(all_, i - 1), word, following))
+        placed = F.transform(all_, lambda w, i: F.struct(w.alias("w"), F.get(all_, i - 1).alias("before")))
+
+        def sign(content: Column) -> Column:  # the content words alone, so the next one is the next entry
+            def one(x: Column, j: Column) -> Column:
+                return F.when(x["before"].startswith(MARK), F.xxhash64(x["before"], x["w"], F.coalesce(F.get(content, j + 1)["w"], F.lit(""))))
+
+            return F.filter(F.transform(content, one), lambda s: s.isNotNull())
 
-        return F.filter(F.transform(all_, sign), lambda s: s.isNotNull())
+        return _bound(F.filter(placed, lambda x: ~x["w"].startswith(MARK)), sign)
 
     def either(all_: Column) -> Column:
         def fallback(found: Column) -> Column:
@@ -84,46 +83,72 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "text", signatures(F.col("text")).alias("signatures"))
 
 
-#: Rows in a stretch of ids, most stretches, and knots of the id distribution by which stretches are laid out.
-STRETCH_ROWS, MOST_STRETCHES, KNOTS = 1000, 100_000, 64
+#: Rows in a stretch of ids, and knots of the id distribution by which stretches are laid out.
+STRETCH_ROWS, KNOTS = 1000, 64
+#: Stretches that a knot's span may have; a power of two.
+SPAN = 1 << 40
+
+
+def opening(text: Column) -> Column:
+    """The first six bytes of a text as a number that grows with the text's order."""
+    return F.conv(F.rpad(F.hex(F.substring(text.cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("bigint")
+
+
+def _stretch(ids: DataFrame, size: int) -> Column:
+    """The stretch of a row of (doc_id, begins), a number that falls as rows follow each other: by descending id (null ids
+    last), equal ids by text.
+
+    The span between two knots of the id distribution is cut into equal parts. An id that several knots fall on, or the
+    null id, may have many rows; its rows are cut by how their texts begin, between knots of all texts' openings.
+    """
+    fractions = [i / KNOTS for i in range(KNOTS + 1)]
+    knots, openings, nulls = ids.agg(F.percentile_approx("doc_id", fractions, 10_000), F.percentile_approx("begins", fractions, 10_000), F.sum(F.col("doc_id").isNull().cast("int"))).first()
+    knots, each = [int(k) for k in knots or ()], max(1, math.ceil(size / STRETCH_ROWS / KNOTS))
+
+    def between(value: Column, edges: list[int], parts: int, apart: int) -> Column:
+        """apart * the span that a value lies in + its part of the span, in ascending order."""
+        out = F.lit(0).cast("bigint")
+        for i, (a, b) in enumerate(zip(edges, edges[1:])):
+            inside = F.floor((value - a) / F.lit(float(max(1, b - a))) * parts)
+            out = F.when(value >= a, F.lit(i * apart) + F.greatest(F.least(inside, F.lit(parts - 1)), F.lit(0))).otherwise(out)
+        return out
+
+    cuts = sorted({int(o) for o in openings or ()})
+    later = len(cuts) * each + 1 - between(F.col("begins"), cuts, each, each)  # texts ascend while stretches fall
+    edges = sorted(set(knots))
+    hot = [a for a in edges if knots.count(a) > 1]
+    stretch = (between(F.col("doc_id"), edges, each, each) + 1) * SPAN
+    for a in hot:  # before the rest of the span that it opens, as ids descend
+        stretch = F.when(F.col("doc_id") == a, F.lit((edges.index(a) * each + 1) * SPAN - SPAN // 2) + later).otherwise(stretch)
+    if (nulls or 0) <= STRETCH_ROWS:
+        later = F.lit(0)
+    return F.when(F.col("doc_id").isNull(), later - SPAN).otherwise(stretch).cast("bigint")
 
 
 def with_next(rows: DataFrame, size: int) -> DataFrame:
     """`rows` (doc_id, text, signatures; `size` of them) with next_text and next_signatures of the row that follows by
     descending doc_id (null ids last, equal ids by text), the last being followed by the first.
 
-    Ids are laid out in stretches of about equal size and each stretch is ordered on its own; the first row of a stretch
-    is also sent, as a guest, behind the last row of the stretch before. So texts are shuffled once, and the driver
-    holds one number for each stretch.
+    Rows are laid out in stretches of about equal size, rows of one id too, and each stretch is ordered on its own; the
+    first row of a stretch is also sent, as a guest, behind the last row of the stretch before. So texts are shuffled once,
+    and the driver holds two numbers for each stretch.
     """
     spark = rows.sparkSession
-    ids = rows.select("doc_id")
-    knots = ids.agg(F.percentile_approx("doc_id", [i / KNOTS for i in range(KNOTS + 1)], 10_000)).first()[0]
-    stretches = min(MOST_STRETCHES, max(1, math.ceil(size / STRETCH_ROWS)))
-    if knots and stretches > 1:
-        each = max(1, stretches // KNOTS)
-        edges = sorted(set(map(int, knots)))
-        at = F.lit(0)
-        for i, (a, b) in enumerate(zip(edges, edges[1:])):
-            inside = F.least(F.floor((F.col("doc_id") - a) / F.lit(float(max(1, b - a))) * each), F.lit(each - 1))
-            at = F.when(F.col("doc_id") >= a, F.lit(i * each) + F.greatest(inside, F.lit(0))).otherwise(at)
-        stretch = F.coalesce(at, F.lit(-1)).cast("bigint")
-    else:
-        stretch = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("bigint")
-    placed = rows.withColumn("stretch", stretch)
-    heads = sorted(((r.stretch, r.head) for r in ids.withColumn("stretch", stretch).groupBy("stretch").agg(F.max("doc_id").alias("head")).collect()), reverse=True)
+    begun = rows.withColumn("begins", opening(F.col("text")))
+    placed = begun.withColumn("stretch", _stretch(begun.select("doc_id", "begins"), size))
+    head = F.max(F.struct("doc_id", (-F.col("begins")).alias("o")))
+    heads = sorted(((r.stretch, r["head"]["doc_id"], -r["head"]["o"]) for r in placed.select("doc_id", "begins", "stretch").groupBy("stretch").agg(head.alias("head")).collect()), key=lambda h: -h[0])
     if not heads:
         return rows.withColumn("next_text", F.col("text")).withColumn("next_signatures", F.col("signatures"))
-    hosts = [(heads[i - 1][0], s, h) for i, (s, h) in enumerate(heads)]  # the first stretch is guest of the last
-    visit = F.broadcast(spark.createDataFrame(hosts, "host bigint, _from bigint, _head bigint"))
-    texts = rows.select("doc_id", "text").withColumn("stretch", stretch)
-    first = texts.join(visit, (F.col("stretch") == F.col("_from")) & F.col("doc_id").eqNullSafe(F.col("_head")))
-    one = first.groupBy("host").agg(F.min("text").alias("text"))
-    guests = one.select(F.lit(None).cast("bigint").alias("doc_id"), "text", signatures(F.col("text")).alias("signatures"), F.col("host").alias("stretch"), F.lit(True).alias("guest"))
+    hosts = [(heads[i - 1][0], *h) for i, h in enumerate(heads)]  # the first stretch is guest of the last
+    visit = F.broadcast(spark.createDataFrame(hosts, "host bigint, _from bigint, _head bigint, _begins bigint"))
+    same = (F.col("stretch") == F.col("_from")) & F.col("doc_id").eqNullSafe(F.col("_head")) & (F.col("begins") == F.col("_begins"))
+    one = placed.select("doc_id", "text", "begins", "stretch").join(visit, same).groupBy("host").agg(F.min("text").alias("text"))
+    guests = one.select(F.lit(None).cast("bigint").alias("doc_id"), "text", signatures(F.col("text")).alias("signatures"), F.lit(None).cast("bigint").alias("begins"), F.col("host").alias("stretch"), F.lit(True).alias("guest"))
     both = placed.withColumn("guest", F.lit(False)).unionByName(guests)
     order = Window.partitionBy("stretch").orderBy("guest", F.col("doc_id").desc_nulls_last(), "text")
     led = both.withColumn("next_text", F.lead("text").over(order)).withColumn("next_signatures", F.lead("signatures").over(order))
-    return led.where("not guest").drop("guest", "stretch")
+    return led.where("not guest").drop("guest", "stretch", "begins")
 
 
 def edit_report(docs: DataFrame) -> DataFrame:
