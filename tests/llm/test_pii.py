@@ -102,3 +102,12 @@ def test_numbers_of_words_and_figures():
     assert kinds("call +1 555 123 4567 one time") == [("phone", "+1 555 123 4567")]
     assert kinds("le 10.0.0.1 un jour") == [("ip", "10.0.0.1")]
     assert kinds("In 2020 one of 12 pages, two of 300.") == []
+
+
+def test_local_parts_of_any_length():
+    for dots in (3, 40, 400):
+        local = " dot ".join(f"part{i}" for i in range(dots))
+        text = f"write to {local} at example dot com now"
+        plain, found = pii.spans(text)
+        at = text.index("part0")
+        assert not plain and (at, 0, text.index(" now")) in found

@@ -163,7 +163,7 @@ LOCAL_DOT = DOT.replace(rf"[ \t]+(?:{DOT_WORDS})[ \t]+", r"[ \t]+(?:dot|punto|pu
 DISGUISED_LOCAL = re.compile(rf"[A-Za-z0-9_%+-]+(?:{LOCAL_DOT}[A-Za-z0-9_%+-]+)*$", re.IGNORECASE)
 MAY_HIDE = re.compile(rf"[\[({{<][ \t]*(?:{AT_WORDS}|@|{DOT_WORDS})[ \t]*[\])}}>]|[ \t]dot[ \t]|[ \t](?:{AT_WORDS})[ \t]+[A-Za-z0-9-]+(?:\.[A-Za-z0-9]|[ \t]+(?:{DOT_WORDS})[ \t])|@[A-Za-z0-9.-]+[ \t]+(?:{DOT_WORDS})[ \t]", re.IGNORECASE)
 MARKED = re.compile(r"[A-Za-z].*[._+0-9]|[._+0-9].*[A-Za-z]")
-#: Longest local part of an address, with room for its disguised dots.
+#: How far to the left a local part is looked for at first; one that reaches that far is looked for twice as far.
 LOCAL_ROOM = 160
 
 
@@ -282,8 +282,13 @@ def address_edits(text: str) -> list[tuple[int, int, str]]:
         common = last.lower() in TOP_DOMAINS
         if word and not common or at["sign"] and not (hidden or at[0] != "@") or at["sign"] and at[0] != "@" and not common:
             continue
-        room = max(done, at.start() - LOCAL_ROOM)
-        local = DISGUISED_LOCAL.search(text[room : at.start()])
+        reach, local = LOCAL_ROOM, None
+        while True:
+            room = max(done, at.start() - reach)
+            local = DISGUISED_LOCAL.search(text[room : at.start()])
+            if not local or local.start() > 24 or room == done:  # a disguised dot may begin at the edge
+                break
+            reach *= 2
         if not local:
             continue
         begin = room + local.start()
