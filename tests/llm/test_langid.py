@@ -82,3 +82,47 @@ def test_score_does_not_depend_on_neighbours():
     for i, t in enumerate(texts):
         alone, m = langid.score([t], weights)
         assert np.allclose(alone[0], together[i], atol=1e-12) and m[0] == n[i]
+
+
+def brute_grams(text):
+    """Every gram of one to four characters of each word with its edges, by hand: (length, characters)."""
+    out = []
+    for word in "".join(c.lower() if c.isalpha() else " " for c in text).split():
+        edged = f" {word} "
+        for n in (1, 2, 3, 4):
+            source = word if n == 1 else edged
+            out += [(n, source[i : i + n]) for i in range(len(source) - n + 1)]
+    return out
+
+
+def test_features_tell_the_same_grams_apart_as_by_hand():
+    texts = ["the cat sat", "The  CAT, sat!", "das Haus", "été à la mer", "a", "ab abc abcd abcde"]
+    for t in texts:
+        features = np.concatenate([f for f, _ in langid.grams([t])])
+        by_hand = brute_grams(t)
+        assert len(features) == len(by_hand), t
+        # equal grams have equal numbers: the multisets have the same shape
+        shape = lambda xs: sorted(np.unique(xs, return_counts=True)[1].tolist())
+        assert shape(features) == shape([f"{n}{g}" for n, g in by_hand]), t
+
+
+def test_decoding_by_brute_force():
+    rng = np.random.default_rng(3)
+    for n in (2, 3, 5, 9):
+        code = langid.codewords(n)
+        bits = code.shape[1]
+        trust = rng.random((n, bits)) + 0.1
+        model = langid.Model([f"l{i}" for i in range(n)], code, np.zeros((1, bits)), rng.random(bits) + 0.5, rng.normal(size=bits), trust / trust.sum(1, keepdims=True))
+        means = rng.normal(size=(50, bits))
+        best, share, near = model.decode(means)
+        for row in range(50):
+            far = [sum(model.trust[i, j] * np.log1p(np.exp(-(means[row, j] * model.slope[j] + model.shift[j]) * code[i, j])) for j in range(bits)) for i in range(n)]
+            first, second = sorted(far)[:2]
+            assert best[row] == int(np.argmin(far)) and near[row] == (second - first < langid.AMBIGUOUS)
+            assert abs(share[row] - 1 / sum(np.exp(-(x - first) * bits) for x in far)) < 1e-9
+
+
+def test_many_languages_are_bounded(spark):
+    rows = [(i, f"word{i % 40} " * 3 + chr(97 + i % 26) * 5, f"l{i % 40:02d}") for i in range(400)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most_languages=8)
+    assert model.languages == [f"l{i:02d}" for i in range(8)]

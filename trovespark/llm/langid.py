@@ -160,15 +160,14 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         langs, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
         names = sorted(set(langs))
         number = np.array([names.index(x) for x in langs], np.int64)
-        table = np.zeros((len(names), OFFSETS[-1]), np.int64)
-        for features, owner in grams(texts):
-            np.add.at(table, (number[owner], features), 1)
-        where, feature = np.nonzero(table)
-        yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in where], pa.string()), pa.array(feature, pa.int32()), pa.array(table[where, feature], pa.int64())], ["lang", "feature", "n"])
+        found = [np.zeros(0, np.int64), *(number[owner] * OFFSETS[-1] + features for features, owner in grams(texts))]
+        key, n = np.unique(np.concatenate(found), return_counts=True)
+        where, feature = np.divmod(key, OFFSETS[-1])
+        yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in where], pa.string()), pa.array(feature, pa.int32()), pa.array(n, pa.int64())], ["lang", "feature", "n"])
 
 
 def _means(batches: Iterator[pa.RecordBatch], weights) -> Iterator[pa.RecordBatch]:
@@ -178,17 +177,19 @@ def _means(batches: Iterator[pa.RecordBatch], weights) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(kept)), pa.array(list(means[kept]), pa.list_(pa.float64()))], ["lang", "means"])
 
 
-def fit(labelled: DataFrame, per_language: int = 1000, most_texts: int = 20_000) -> Model | None:
+def fit(labelled: DataFrame, per_language: int = 1000, most_texts: int = 20_000, most_languages: int = 500) -> Model | None:
     """A model from `labelled` (doc_id, text, lang), None if no text has a label.
 
-    Half of the sample gives the n-gram counts, the other half the logistic fits and the weights for decoding.
+    Half of the sample gives the n-gram counts, the other half the logistic fits and the weights for decoding. Of more
+    than `most_languages` labels those with the most texts are learnt (ties to the first in order): the driver and every
+    task hold a row of weights a language.
     """
     spark = labelled.sparkSession
     rows = pick(labelled, doc_id="bigint", text="string", lang="string").where("lang is not null and text is not null")
-    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()}
     if not sizes:
         return None
-    share = max(20, min(per_language, most_texts // len(sizes)))
+    share = max(1, min(per_language, most_texts // len(sizes)))
     odds = spark.createDataFrame([(k, min(1 << 20, (share << 20) // n)) for k, n in sizes.items()], "lang string, odds bigint")
     place = F.xxhash64(F.lit("langid"), "doc_id")
     sample = rows.join(F.broadcast(odds), "lang").where(F.pmod(place, F.lit(1 << 20)) < F.col("odds"))
