@@ -112,9 +112,9 @@ def pattern_of(sources: Column) -> Column:
     return F.to_json(F.array_sort(F.array_distinct(sources)))
 
 
-def draw(doc_id: Column, seed: int) -> Column:
-    """The document's seeded place, uniform over 2^BITS."""
-    return F.pmod(F.xxhash64(F.lit(seed), doc_id), F.lit(1 << BITS))
+def draw(doc_id: Column, text: Column, seed: int) -> Column:
+    """The document's seeded place, uniform over 2^BITS: rows without an id, or that share one, differ by their texts."""
+    return F.pmod(F.xxhash64(F.lit(seed), doc_id, text), F.lit(1 << BITS))
 
 
 @dataclass
@@ -128,17 +128,17 @@ class Mix:
     whole: dict[str, int]
     cutoff: dict[str, int]
 
-    def repeats(self, spark, docs: DataFrame, doc_id: str, pattern: str) -> DataFrame:
+    def repeats(self, spark, docs: DataFrame, place: Column, pattern: str) -> DataFrame:
         """`docs` with `repeats`, by a broadcast of one row for each pattern."""
         rows = [(k, self.whole[k], self.cutoff[k]) for k in self.whole]
         table = F.broadcast(spark.createDataFrame(rows, "_pattern string, _whole int, _cutoff bigint"))
-        more = (draw(F.col(doc_id), self.seed) < F.col("_cutoff")).cast("int")
+        more = (place < F.col("_cutoff")).cast("int")
         joined = docs.join(table, F.col(pattern) == F.col("_pattern"), "left")
         return joined.withColumn("repeats", F.coalesce(F.col("_whole") + more, F.lit(0))).drop("_pattern", "_whole", "_cutoff")
 
 
 def fit(sizes: DataFrame, quotas, repeats: int = 2, seed: int = 0, max_patterns: int = 100_000) -> Mix:
-    """A Mix for `sizes` (doc_id, pattern, size); `quotas` maps the words of each source to its target words."""
+    """A Mix for `sizes` (place, pattern, size); `quotas` maps the words of each source to its target words."""
     spark = sizes.sparkSession
     found = sizes.groupBy("pattern").agg(F.sum("size").alias("size")).limit(max_patterns + 1).collect()
     if len(found) > max_patterns:
@@ -162,7 +162,7 @@ def fit(sizes: DataFrame, quotas, repeats: int = 2, seed: int = 0, max_patterns:
         if not cut:
             break
         state = F.broadcast(spark.createDataFrame([(k, b, n) for k, (b, n) in cut.items()], "_pattern string, _bucket bigint, _need bigint"))
-        place = draw(F.col("doc_id"), seed)
+        place = F.col("place")
         inside = sizes.join(state, (F.col("pattern") == F.col("_pattern")) & (F.shiftright(place, BITS - done + ROUND) == F.col("_bucket")))
         buckets = inside.groupBy("pattern", "_need", F.shiftright(place, BITS - done).alias("bucket")).agg(F.sum("size").alias("size"))
         running = buckets.withColumn("upto", F.sum("size").over(Window.partitionBy("pattern").orderBy("bucket")))
@@ -181,31 +181,35 @@ def fit(sizes: DataFrame, quotas, repeats: int = 2, seed: int = 0, max_patterns:
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), amount: float = 1.5, repeats: int = 2, seed: int = 0) -> DataFrame:
     """doc_id, size, source_size, target, taken, source, repeats of every document, mixed to weighted sources.
 
-    A null text has size 0 and takes 0; a null source is a source of its own, last in order. Rows that repeat a doc_id
-    are drawn together. A document is taken whole 0 to `repeats` times. An empty table gives none; other columns are left
-    out whatever their names. Only (doc_id, source, size) rows are kept between passes, as a table in the shared folder.
+    A null text has size 0 and takes 0; a null source is a source of its own, last in order. Rows equal in
+    doc_id and text are drawn together. A document is taken whole 0 to `repeats` times. An empty table gives none; other columns are left
+    out whatever their names. Only (doc_id, source, size, place) rows are kept between passes, as a table in the shared folder.
     """
     spark = docs.sparkSession
     rows = pick(docs, doc_id="bigint", text="string", source="string")
-    sizes = materialise(rows.select("doc_id", "source", pattern_of(F.array("source")).alias("pattern"), size_of(F.col("text")).alias("size")), "mix-sizes")
+    sizes = materialise(rows.select("doc_id", "source", pattern_of(F.array("source")).alias("pattern"), size_of(F.col("text")).alias("size"), draw(F.col("doc_id"), F.col("text"), seed).alias("place")), "mix-sizes")
     fitted = fit(sizes, lambda of: shares(of, weights, amount, repeats), repeats, seed)
     if not fitted.whole:
         release(sizes)
         return spark.createDataFrame([], "doc_id bigint, size bigint, source_size bigint, target double, taken bigint, source string, repeats int")
     info = [(k, fitted.source_size[s], float(fitted.target[s])) for k in fitted.whole for s in json.loads(k)]
     table = F.broadcast(spark.createDataFrame(info, "_key string, source_size bigint, target double"))
-    out = fitted.repeats(spark, sizes, "doc_id", "pattern").join(table, F.col("pattern") == F.col("_key"), "left")
+    out = fitted.repeats(spark, sizes, F.col("place"), "pattern").join(table, F.col("pattern") == F.col("_key"), "left")
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"), "source", "repeats")
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), amount: float = 1.5, repeats: int = 2, seed: int = 0) -> DataFrame:
-    """The rows of `docs` as often as the mix takes them, with the same columns. A null doc_id counts as any other."""
-    rows = docs.select("doc_id", "source", pattern_of(F.array("source")).alias("pattern"), size_of(F.col("text")).alias("size"))
-    sizes = materialise(rows, "mix-sizes")
-    fitted = fit(sizes, lambda of: shares(of, weights, amount, repeats), repeats, seed)
+    """The rows of `docs` as often as the mix takes them, with the same columns. A null doc_id counts as any other; of
+    columns that share a name but for case the one spelled `doc_id`, `text` or `source` counts. An empty table gives none.
+    """
+    names = docs.columns
+    plain = docs.toDF(*[f"_in{i}" for i in range(len(names))])
+    of = {c: F.col(f"_in{names.index(c)}") for c in ("doc_id", "text", "source")}
+    rows = plain.withColumn("_key", pattern_of(F.array(of["source"]))).withColumn("_place", draw(of["doc_id"], of["text"], seed))
+    sizes = materialise(rows.select(F.col("_key").alias("pattern"), F.col("_place").alias("place"), size_of(of["text"]).alias("size")), "mix-sizes")
+    fitted = fit(sizes, lambda found: shares(found, weights, amount, repeats), repeats, seed)
     release(sizes)
     if not fitted.whole:
         return docs
-    names = docs.columns
-    taken = fitted.repeats(docs.sparkSession, docs.withColumn("_key", pattern_of(F.array("source"))), "doc_id", "_key").where("repeats > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("repeats")))).select(*names)
+    taken = fitted.repeats(docs.sparkSession, rows, F.col("_place"), "_key").where("repeats > 0")
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("repeats")))).select(*[f"_in{i}" for i in range(len(names))]).toDF(*names)
