@@ -89,3 +89,38 @@ def test_components_by_brute_force(spark, monkeypatch, small):
         assert S.near_duplicates(df.limit(0)).count() == 0
         lonely = spark.createDataFrame([(1, "a b c d e f"), (2, None)], "doc_id long, text string")
         assert sorted(map(tuple, S.near_duplicates(lonely).collect())) == [(1, 2, 1, True), (2, 0, 2, True)]
+
+
+def test_words_that_cancel_under_polynomials_differ(spark):
+    """Thue-Morse strings and their opposites share every polynomial hash modulo a power of two."""
+    flip, a = str.maketrans("ab", "ba"), "a"
+    while len(a) < 4096:
+        a += a.translate(flip)
+        numbers, _ = words.word_numbers([a, a.translate(flip)])
+        assert numbers[0] != numbers[1], len(a)
+    rows = [(1, a), (2, a.translate(flip)), (3, f"{a} x y z"), (4, f"{a.translate(flip)} x y z")]
+    got = S.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=4).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (2, 2), (3, 3), (4, 4)]
+
+
+def test_chains_that_no_hub_links(spark, monkeypatch):
+    """A long drift of texts: neighbours are alike, the ends share nothing, so most of a bucket isn't linked to its hub."""
+    monkeypatch.setattr(S, "SMALL", 2)
+    monkeypatch.setattr(S, "BLOCK_BYTES", 20_000)
+    rows = [(100 + i, " ".join(f"w{j}" for j in range(3 * i, 3 * i + 60))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, S.near_duplicates(df, width=4).collect()), key=str)
+    assert got == brute(rows, 4) and {c for _, _, c, _ in got} == {100}
+
+
+def test_share_of_pairs_missed_at_the_threshold():
+    """Pairs at exactly 0.8 that no band shows or the estimate rejects: none of 3,000 (the README's bound is 4e-5)."""
+    rng, missed = np.random.default_rng(12), 0
+    for _ in range(3000):
+        whole = random_set(rng, 90)
+        a, b = whole[: 81], np.r_[whole[:72], whole[81:]]  # 72 shared of 90
+        x, y = S.registers(np.sort(a)), S.registers(np.sort(b))
+        shown = (S.bands(x) == S.bands(y)).any()
+        kept = S.hopeful(x[None], y[None], np.array([len(a)]), np.array([len(b)]), 80)[0]
+        missed += not (shown and kept)
+    assert missed == 0

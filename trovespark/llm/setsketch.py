@@ -11,8 +11,10 @@ many steps of a factor b the smallest value lies below one, cut to 16 bits. Regi
 4. what is left is verified on full sets, and links make components.
 
 Buckets of up to `SMALL` classes are paired by a join. In larger ones (many near copies of one text) pairs are never
-rows: a bucket is cut into blocks bounded in bytes, each pair of blocks is compared in memory, most alike pairs first,
-and a pair already linked through others is not looked at. A pair is dealt with in the first band that it shares, once.
+rows. First each member is compared with its bucket's hub, the smallest id: that is linear, and links most of a group.
+Buckets whose members are then of one component are done. The others are cut into blocks bounded in bytes, each pair of
+blocks is compared in memory, most alike pairs first, and only pairs that nothing connects yet are looked at. There a pair
+is dealt with in the first band that it shares, once.
 """
 
 from __future__ import annotations
@@ -173,8 +175,10 @@ def _compare(group: pd.DataFrame, percent: int) -> pd.DataFrame:
     shaped = sketch.reshape(len(group), BANDS, ROWS)
     found: list[tuple[float, int, int]] = []
     floor = percent / 100 - DEVIATIONS * np.sqrt(percent / 100 * (1 - percent / 100) / REGISTERS)
+    ids, component = group.id.to_numpy(), group.component.to_numpy()
     for i in left:
         others = right[right > i] if first_block == second_block else right
+        others = others[component[others] != component[i]]
         others = others[100 * np.minimum(size[others], size[i]) >= percent * np.maximum(size[others], size[i])]
         if not len(others):
             continue
@@ -185,7 +189,7 @@ def _compare(group: pd.DataFrame, percent: int) -> pd.DataFrame:
         keep = likeness >= floor
         found += zip(-likeness[keep], np.full(keep.sum(), i), others[keep])
     sets = [np.frombuffer(s, np.uint64) for s in group.shingles]
-    root = list(range(len(group)))
+    root = pd.Series(range(len(group))).groupby(component).transform("first").tolist()  # what is connected already
 
     def top(i: int) -> int:
         while root[i] != i:
@@ -193,12 +197,12 @@ def _compare(group: pd.DataFrame, percent: int) -> pd.DataFrame:
             i = root[i]
         return i
 
-    ids = group.id.to_numpy()
+    before = [top(i) for i in range(len(group))]
     for _, i, j in sorted(found):
         if top(i) != top(j) and linked(sets[i], sets[j], percent):
             i, j = top(i), top(j)
             root[max(i, j)] = min(i, j)
-    out = [(ids[top(i)], ids[i]) for i in range(len(ids)) if top(i) != i]
+    out = [(ids[top(i)], ids[i]) for i in range(len(ids)) if top(i) != i and before[i] == i]
     return pd.DataFrame(out, columns=["a", "b"]).astype({"a": "int64", "b": "int64"})
 
 
@@ -234,19 +238,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     small = buckets.where(F.col("many") <= SMALL).select("key", "id")
     pairs = small.select("key", F.col("id").alias("a")).join(small.select("key", F.col("id").alias("b")), "key").where("a < b").select("a", "b").distinct()
-    hopes = _paired(pairs, sets, "registers", "n").mapInArrow(lambda b: _screen(b, percent), "a bigint, b bigint")
+    large = buckets.where(F.col("many") > SMALL)
+    hubs = large.groupBy("key").agg(F.min("id").alias("a"))
+    spokes = large.join(hubs, "key").where("id != a").select("a", F.col("id").alias("b"))
+    hopes = _paired(pairs.union(spokes).distinct(), sets, "registers", "n").mapInArrow(lambda b: _screen(b, percent), "a bigint, b bigint")
     found = _paired(hopes, sets, "shingles").mapInArrow(lambda b: _verify(b, percent), "a bigint, b bigint")
-
-    blocks = F.ceil(F.col("bytes") / BLOCK_BYTES).cast("int")
-    large = buckets.where(F.col("many") > SMALL).withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
-    large = large.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    large = large.select("key", "band", "id", "block", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second")).join(sets, "id")
-    more = large.groupBy("key", "first", "second").applyInPandas(lambda g: _compare(g, percent), "a bigint, b bigint")
-
     several = member.groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
     same = member.join(several, "doc_id").select(F.col("low").alias("a"), F.col("rep").alias("b"))
-    joined = components(found.union(more).union(same))
-    release(buckets, sets)
+    early = components(found.union(same))
+
+    named_large = large.join(early, large.id == early.node, "left").select("key", "band", "id", "bytes", F.coalesce("component", "id").alias("component"))
+    mixed_keys = named_large.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
+    blocks = F.ceil(F.col("bytes") / BLOCK_BYTES).cast("int")
+    rest = named_large.join(mixed_keys, "key").withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rest = rest.select("key", "band", "id", "component", "block", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second")).join(sets, "id")
+    more = rest.groupBy("key", "first", "second").applyInPandas(lambda g: _compare(g, percent), "a bigint, b bigint")
+    joined = components(early.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+    release(buckets, sets, early)
     labels = member.select("doc_id", "rep").groupBy("doc_id").agg(F.min("rep").alias("rep"))
     labels = labels.join(joined, labels.rep == joined.node, "left").select(F.col("doc_id").alias("_doc"), F.coalesce("component", "rep").alias("_component"))
     out = sketches.join(labels, sketches.doc_id == labels._doc, "left")
