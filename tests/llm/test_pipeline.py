@@ -74,3 +74,14 @@ def test_stage_takes_empty_tables_and_nulls(spark, stage):
     assert stage[1](spark, spark.createDataFrame([], schema), "").count() == 0
     odd = spark.createDataFrame([(None, None, None, None, None, 1), (1, "", None, None, 0, 1), (1, "a b", "en", None, 3, 1), (1, "a b", "en", None, 3, 1)], schema)
     stage[1](spark, odd, "").collect()
+
+
+@pytest.mark.parametrize("stage", corpus_pipeline.STAGES)
+def test_stage_ignores_columns_that_clash(spark, stage):
+    rows = [(i, f"the water of the house and people number{'x' * (i % 9)} mail{i}@host.example.com", "en", f"s{i % 3}", 0) for i in range(40)]
+    rows += [(3, rows[3][1], "en", "s0", 0), (None, "water and people", "en", None, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    key = lambda found: sorted(map(str, map(tuple, found)))
+    plain = key(stage[1](spark, df, "").collect())
+    odd = df.selectExpr("*", "'other' as TEXT", "7 as Doc_Id", "'zz' as Lang", "'none' as SOURCE")
+    assert key(stage[1](spark, odd, "").collect()) == plain and len(plain) > 0

@@ -194,8 +194,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), amount: float = 1
         return spark.createDataFrame([], "doc_id bigint, size bigint, source_size bigint, target double, taken bigint, source string, repeats int")
     info = [(k, fitted.source_size[s], float(fitted.target[s])) for k in fitted.whole for s in json.loads(k)]
     table = F.broadcast(spark.createDataFrame(info, "_key string, source_size bigint, target double"))
-    out = fitted.repeats(spark, sizes, F.col("place"), "pattern").join(table, F.col("pattern") == F.col("_key"), "left")
-    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"), "source", "repeats")
+    rows = fitted.repeats(spark, sizes, F.col("place"), "pattern").join(table, F.col("pattern") == F.col("_key"), "left")
+    out = materialise(rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"), "source", "repeats"), "mix")
+    release(sizes)
+    return out
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), amount: float = 1.5, repeats: int = 2, seed: int = 0) -> DataFrame:

@@ -258,6 +258,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     release(buckets, sets, early)
     labels = member.select("doc_id", "rep").groupBy("doc_id").agg(F.min("rep").alias("rep"))
     labels = labels.join(joined, labels.rep == joined.node, "left").select(F.col("doc_id").alias("_doc"), F.coalesce("component", "rep").alias("_component"))
-    out = sketches.join(labels, sketches.doc_id == labels._doc, "left")
     component = F.coalesce("_component", "doc_id")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    rows = sketches.select("doc_id", "n").join(labels, sketches.doc_id == labels._doc, "left")
+    out = materialise(rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc_id") == component).alias("kept")), "near-duplicates")
+    release(sketches, member, joined)
+    return out
