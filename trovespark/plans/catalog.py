@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from trovespark.functions import ids, text
-from trovespark.functions.answers import parsed_answer, sentence_list
+from trovespark.functions.answers import parsed_answer
 from trovespark.operators import attribute, dense, distil, evaluate, evidence, fusion, generate, lexical, ranking, reports, rerank, windows
 from trovespark.plans.fixtures import Fixtures
-from trovespark.plans.oracle import SENT, TOK, sql
+from trovespark.plans.oracle import TOK, sql
 from trovespark.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -7,7 +7,7 @@ import urllib.error
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from trovespark.functions import ids, text
-from trovespark.operators import attribute, dense, distil, evaluate, evidence, fusion, generate, ranking, rerank, windows
+from trovespark.operators import attribute, dense, distil, evaluate, evidence, fusion, generate, rerank, windows
 from trovespark.plans import config
 from trovespark.plans.catalog import CT, EVAL, LIN, big, overlap, r9, register
 from trovespark.plans.fixtures import Fixtures
