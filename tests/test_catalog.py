@@ -43,3 +43,12 @@ def test_all_embeddings_are_clustered(spark):
 
     got = [r.place for r in catalog.queries()["facet_clusters"](spark, SF).collect()]
     assert sorted(got) == sorted(r.vec_id for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()) and len(got) > 200
+
+
+def test_queries_are_listed_without_a_session():
+    import subprocess
+    import sys
+
+    code = "import __spark_entry__ as e; assert len(e.queries()) > 160 and set(e.oracle_sql()) <= set(e.queries())"
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root)

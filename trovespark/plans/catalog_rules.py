@@ -13,7 +13,8 @@ from trovespark.plans.catalog import CT, EVAL, LIN, big, overlap, r9, register
 from trovespark.plans.fixtures import Fixtures
 from trovespark.sources import readers
 
-EVEN = F.col("qid").cast("bigint") % 2 == 0
+def even() -> Column:
+    return F.col("qid").cast("bigint") % 2 == 0
 
 
 def none_of() -> Column:
@@ -32,13 +33,13 @@ def _(f: Fixtures):
 
 @register("topics_by_field", "SELECT qid, trim(query) query FROM topics WHERE CAST(qid AS BIGINT) % 2 = 0")
 def _(f):
-    rows = f.topics().select(F.col("qid").alias("query_id"), F.when(EVEN, F.col("query")).otherwise(F.lit("  ")).alias("body"))
+    rows = f.topics().select(F.col("qid").alias("query_id"), F.when(even(), F.col("query")).otherwise(F.lit("  ")).alias("body"))
     return readers.topics(rows, "body", skip_empty=True)
 
 
 @register("query_ids", "SELECT CASE WHEN CAST(qid AS BIGINT) % 2 = 0 THEN qid ELSE 'row' || qid END query_id, query FROM topics")
 def _(f):
-    rows = f.topics().select(F.when(EVEN, F.concat(F.lit(" "), "qid")).otherwise(F.lit(" ")).alias("query_id"), F.concat(F.lit("row"), "qid").alias("idx"), "query")
+    rows = f.topics().select(F.when(even(), F.concat(F.lit(" "), "qid")).otherwise(F.lit(" ")).alias("query_id"), F.concat(F.lit("row"), "qid").alias("idx"), "query")
     return readers.indexed_queries(rows).select("query_id", "query")
 
 
@@ -68,7 +69,7 @@ def _(f):
 @register("run_names", "SELECT qid, 's' || qid split, 'a_s' || qid stem, CASE WHEN CAST(qid AS BIGINT) % 2 = 0 THEN 'train' ELSE 'test' END role, 's' || qid AS label, 'x_y_' || qid AS file FROM topics")
 def _(f):
     name = F.concat(F.lit("stage1_s"), "qid", F.lit("_top50"))
-    role = ids.role_of(F.when(EVEN, "run_tr1").otherwise("run_te1"), ["tr1"], ["te1"])
+    role = ids.role_of(F.when(even(), "run_tr1").otherwise("run_te1"), ["tr1"], ["te1"])
     stem = ids.rerank_name(F.concat(F.lit("a_s"), "qid", F.lit("_rrf_pool15_k60")))
     return f.topics().select("qid", ids.split_of_run(name).alias("split"), stem.alias("stem"), role.alias("role"), ids.short_label(name).alias("label"), ids.safe_name(F.concat(F.lit("x y/"), "qid")).alias("file"))
 
@@ -147,7 +148,7 @@ def _(f):
 
 @register("rerank_skips_empty", "SELECT DISTINCT qid FROM lex WHERE CAST(qid AS BIGINT) % 2 = 0")
 def _(f):
-    topics = f.topics().select("qid", F.when(EVEN, F.col("query")).otherwise(F.lit(" ")).alias("query"))
+    topics = f.topics().select("qid", F.when(even(), F.col("query")).otherwise(F.lit(" ")).alias("query"))
     return rerank.rerank(f.lexical_run(), topics, f.corpus()).select("qid").distinct()
 
 
@@ -166,7 +167,7 @@ def _(f):
 
 @register("window_scores", f"SELECT qid, docno, window_idx, round(CASE WHEN CAST(qid AS BIGINT) % 2 = 0 THEN {overlap('query', 'window_text')} ELSE 0.0 END, 9) s FROM wins")
 def _(f):
-    topics = f.topics().select("qid", F.when(EVEN, F.col("query")).otherwise(F.lit("")).alias("query"))
+    topics = f.topics().select("qid", F.when(even(), F.col("query")).otherwise(F.lit("")).alias("query"))
     return windows.scored(f.window_rows().join(topics, "qid")).select("qid", "docno", "window_idx", r9("ce_score", "s"))
 
 
@@ -260,7 +261,7 @@ def _(f):
 
 @register("unanswered_prompts", "SELECT qid query_id, query prompt FROM topics WHERE CAST(qid AS BIGINT) % 2 = 1")
 def _(f):
-    rows = f.topics().select(F.col("qid").alias("query_id"), F.col("query").alias("prompt"), F.when(~EVEN, "HTTP 504").alias("error"))
+    rows = f.topics().select(F.col("qid").alias("query_id"), F.col("query").alias("prompt"), F.when(~even(), "HTTP 504").alias("error"))
     return generate.unanswered(rows).select("query_id", "prompt")
 
 
@@ -277,7 +278,7 @@ def _(f):
 
 @register("attribution_routes", "SELECT qid, CASE WHEN CAST(qid AS BIGINT) % 2 = 0 THEN 'lineage' ELSE 'descent' END route FROM topics")
 def _(f):
-    mode = F.when(EVEN, "claim").otherwise("claim_facet_summary")
+    mode = F.when(even(), "claim").otherwise("claim_facet_summary")
     return f.topics().select("qid", attribute.route(mode).alias("route"))
 
 
