@@ -79,9 +79,12 @@ def lineage(sentences: DataFrame, evidence: DataFrame, slots: DataFrame, least:
     return _cited(best.withColumn("o", key), most or 1)
 
 
-def descent(sentences: DataFrame, evidence: DataFrame, slots: DataFrame, members: DataFrame, least: float = 0.5, overlap: int = 2, most: int = 0, fallback: str = "argmax", compat: bool = True) -> DataFrame:
-    """Facets, then members: a sentence's facets are those past both gates by their text, else the best; in each, it cites
-    the member documents whose claims pass the gates, else by `fallback` the best member, all or none.
+def descent(sentences: DataFrame, evidence: DataFrame, slots: DataFrame, members: DataFrame, least: float = 0.5, overlap: int = 2, most: int = 0, fallback: str = "argmax", compat: bool = True, rerank: str = "lex", cosine=None, k: int = 60, alpha: float = 0.6) -> DataFrame:
+    """Facets, then members: a sentence's facets are those past both gates by their text, else the best one; in each, it
+    cites the member documents whose claims pass the gates, else by `fallback` the best member, all or none.
+
+    With `rerank` rrf or blend the best facet is that of a fused order of score and cosine, or of a weighted sum, and the
+    members of all its facets together give exactly the `most` (or 1) best documents by score.
 
     `members` is a claim cache (qid, context_id, claims). `compat` pairs a facet's member ids with its sorted documents
     place by place, as records made so expect; a member without claims is measured by the facet's text.
@@ -89,12 +92,22 @@ def descent(sentences: DataFrame, evidence: DataFrame, slots: DataFrame, members
     ids, docs = F.coalesce("member_ids", F.array("id")), F.coalesce("member_doc_ids", F.array("doc_id"))
     pairs = F.filter(F.arrays_zip(ids.alias("m"), docs.alias("d")), lambda p: p["m"].isNotNull() & p["d"].isNotNull()) if compat else F.transform(ids, lambda m: F.struct(m.alias("m"), F.col("doc_id").alias("d")))
     facets = evidence.join(slots.select("qid", "id", F.coalesce("text", F.lit("")).alias("facet"), pairs.alias("pairs")), ["qid", "id"])
-    told = sentences.select("qid", "sent", content_words(F.col("text")).alias("_s")).join(facets, "qid")
+    told = sentences.select("qid", "sent", F.col("text").alias("sentence"), content_words(F.col("text")).alias("_s")).join(facets, "qid")
     share, number = recall(F.col("_s"), content_words(F.col("facet")))
     own = Window.partitionBy("qid", "sent")
     told = told.withColumn("_share", share).withColumn("_number", number).withColumn("_ok", (F.col("_share") >= least) & (F.col("_number") >= overlap))
-    told = told.withColumn("_any", F.max("_ok").over(own)).withColumn("_top", F.row_number().over(own.orderBy(F.desc("_share"), F.desc("_number"), "pos")))
-    told = told.where(F.col("_ok") | (~F.col("_any") & (F.col("_top") == 1)))
+    by_score = own.orderBy(F.desc("_share"), F.desc("_number"), "pos")
+    if rerank == "lex":
+        told = told.withColumn("_top", F.row_number().over(by_score))
+    else:
+        told = told.withColumn("_near", cosine(F.col("sentence"), F.col("facet")) if cosine else F.lit(-1.0))
+        if rerank == "rrf":
+            told = told.withColumn("_a", F.row_number().over(by_score) - 1).withColumn("_b", F.row_number().over(own.orderBy(F.desc_nulls_last("_near"), "pos")) - 1)
+            fused = 1.0 / (k + F.col("_a")) + 1.0 / (k + F.col("_b"))
+        else:
+            fused = (1 - alpha) * F.col("_share") + alpha * F.col("_near")
+        told = told.withColumn("_fused", fused).withColumn("_top", F.row_number().over(own.orderBy(F.desc_nulls_last("_fused"), "pos")))
+    told = told.withColumn("_any", F.max("_ok").over(own)).where(F.col("_ok") | (~F.col("_any") & (F.col("_top") == 1)))
     rows = told.select("qid", "sent", "pos", "facet", "_s", F.posexplode("pairs").alias("i", "p")).select("*", F.col("p.m").alias("context_id"), F.col("p.d").alias("doc_id"))
     rows = rows.join(members.select("qid", "context_id", "claims"), ["qid", "context_id"], "left")
     texts = F.when(F.size("claims") > 0, F.col("claims")).otherwise(F.array("facet"))
@@ -104,12 +117,15 @@ def descent(sentences: DataFrame, evidence: DataFrame, slots: DataFrame, members
         return F.struct(a.alias("share"), b.cast("int").alias("number"))
 
     rows = rows.withColumn("b", F.array_max(F.transform(texts, scored)))
+    down = F.struct(-F.col("b.share"), -F.col("b.number"), "pos", "i")
+    if rerank != "lex":
+        return _cited(rows.withColumn("o", down), most or 1)
     rows = rows.withColumn("_hit", (F.col("b.share") >= least) & (F.col("b.number") >= overlap))
     facet = Window.partitionBy("qid", "sent", "pos")
     rows = rows.withColumn("_any", F.max("_hit").over(facet)).withColumn("_top", F.row_number().over(facet.orderBy(F.desc("b.share"), F.desc("b.number"), "i")))
     floor = {"argmax": F.col("_top") == 1, "all": F.lit(True), "none": F.lit(False)}[fallback]
     rows = rows.where(F.col("_hit") | (~F.col("_any") & floor))
-    return _cited(rows.withColumn("o", F.struct(-F.col("b.share"), -F.col("b.number"), "pos", "i")), most)
+    return _cited(rows.withColumn("o", down), most)
 
 
 def attributed(sentences: DataFrame, citations: DataFrame) -> DataFrame:

@@ -118,11 +118,13 @@ def stats(pairs: DataFrame, chosen: DataFrame) -> DataFrame:
     out = rows.agg(
         F.count(F.lit(1)).alias("doc_pairs"), total(kept >= 2).alias("final_two"), total(kept == 1).alias("final_one"), total(kept == 0).alias("fallback"),
         total(two == 1).alias("ranked_two"), total(overlap > 0).alias("dropped_second"), total(overlap).alias("overlap_sum"),
+        total(overlap > 0).alias("overlapping"), total(kept == 1).alias("under_two"),
     )
     rate = lambda a, b: F.when(F.col(b) > 0, F.round(F.col(a) / F.col(b), 9)).otherwise(0.0)
     return out.select(
         "*", F.when(F.col("dropped_second") > 0, F.round(F.col("overlap_sum") / F.col("dropped_second"), 9)).alias("overlap_mean"), rate("final_two", "doc_pairs").alias("rate_two"),
         rate("final_one", "doc_pairs").alias("rate_one"), rate("fallback", "doc_pairs").alias("rate_fallback"), rate("dropped_second", "ranked_two").alias("rate_dropped"),
+        rate("overlapping", "ranked_two").alias("rate_overlapping"),
     )
 
 

@@ -520,6 +520,15 @@ def _(f):
     return windows.stats(f.lexical_run(30), windows.choose(windows.max_pool(f.two_fields()))).select("doc_pairs", "final_two", "final_one", "fallback", "ranked_two", "dropped_second", "overlap_sum")
 
 
+RATES = "SELECT round(two / n, 9) rate_two, round(one / n, 9) rate_one, round(none / n, 9) rate_fallback, CASE WHEN r2 > 0 THEN round(o / r2, 9) ELSE 0.0 END rate_dropped, CASE WHEN r2 > 0 THEN round(o / r2, 9) ELSE 0.0 END rate_overlapping, o overlapping, one under_two, CASE WHEN o > 0 THEN round(s / o, 9) END overlap_mean FROM (SELECT count(*) n, count(*) FILTER (kept >= 2) two, count(*) FILTER (kept = 1) one, count(*) FILTER (coalesce(kept, 0) = 0) AS none, count(*) FILTER (two = 1) r2, count(*) FILTER (overlap > 0) o, sum(overlap) s FROM (SELECT qid, docno FROM lex WHERE rank <= 30) LEFT JOIN (SELECT qid, docno, sum(CAST(chosen AS INTEGER)) kept, max(CAST(place = 2 AS INTEGER)) two, max(overlap) overlap FROM chosen GROUP BY qid, docno) USING (qid, docno))"
+
+
+@register("window_rates", RATES)
+def _(f):
+    out = windows.stats(f.lexical_run(30), windows.choose(windows.max_pool(f.two_fields())))
+    return out.select("rate_two", "rate_one", "rate_fallback", "rate_dropped", "rate_overlapping", "overlapping", "under_two", "overlap_mean")
+
+
 # Evidence
 
 DOCCTX = r"SELECT qid, rank - 1 pos, docno || '-1' id, docno doc_id, trim(regexp_replace(regexp_replace(array_to_string(list_filter([nullif(trim(title), ''), nullif(regexp_replace(text, '^\s+|\s+$', '', 'g'), '')], lambda x: x IS NOT NULL), '. '), '[\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]', ' ', 'g'), ' {2,}', ' ', 'g')) AS text FROM lex JOIN corpus USING (docno) WHERE rank <= 5"
@@ -704,6 +713,19 @@ def _(f):
     return attribute.descent(f.answers(), f.evidence(), f.slots(), members).select("qid", *big("sent", "cite"), "doc_id")
 
 
+DESC_RRF = DESC | {
+    "fp": DESC["fp"].replace(" share,", " share, CASE WHEN len(s) > 0 THEN len(list_intersect(s, t)) / len(s) END near,", 1),
+    "fr": "SELECT *, share >= 0.5 AND num >= 2 ok, bool_or(share >= 0.5 AND num >= 2) OVER (PARTITION BY qid, sent) a, row_number() OVER (PARTITION BY qid, sent ORDER BY share DESC, num DESC, pos) - 1 x, row_number() OVER (PARTITION BY qid, sent ORDER BY near DESC NULLS LAST, pos) - 1 y FROM fp",
+    "fk": "SELECT *, row_number() OVER (PARTITION BY qid, sent ORDER BY 1.0 / (60 + x) + 1.0 / (60 + y) DESC, pos) r FROM fr",
+}
+
+
+@register("attr_descent_rrf", "SELECT * FROM (SELECT qid, sent, row_number() OVER (PARTITION BY qid, sent ORDER BY o) cite, doc_id FROM fc) WHERE cite <= 2", **DESC_RRF)
+def _(f):
+    members = f.slots().select("qid", F.col("id").alias("context_id"), F.array("text").alias("claims"))
+    return attribute.descent(f.answers(), f.evidence(), f.slots(), members, most=2, rerank="rrf", cosine=rerank.overlap_score).select("qid", *big("sent", "cite"), "doc_id")
+
+
 RRF_LIN = {
     "toka": f"SELECT qid, sent, text sentence, {CT.format('text')} s FROM ans",
     "st": f"SELECT qid, id, pos, doc_id, text slot, {CT.format('text')} t, min(pos) OVER (PARTITION BY qid, doc_id) f FROM evid JOIN slots USING (qid, id)",
