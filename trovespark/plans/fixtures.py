@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -16,6 +17,7 @@ from trovespark.operators.ranking import by_score, cut
 #: What a session has worked out and written for a folder of tables: the index, the gold judgements, the first-stage run
 #: and its windows. Every query that starts from one of them reads the stored table.
 _STORED: dict[tuple[str, str, str], object] = {}
+_STORING = threading.RLock()
 
 
 class Fixtures:
@@ -24,9 +26,10 @@ class Fixtures:
 
     def once(self, name: str, make: Callable[[], object]):
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        if key not in _STORED:
-            _STORED[key] = make()
-        return _STORED[key]
+        with _STORING:
+            if key not in _STORED:
+                _STORED[key] = make()
+            return _STORED[key]
 
     def stored(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         return self.once(name, lambda: materialise(make(), name))
