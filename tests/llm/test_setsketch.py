@@ -124,3 +124,21 @@ def test_share_of_pairs_missed_at_the_threshold():
         kept = S.hopeful(x[None], y[None], np.array([len(a)]), np.array([len(b)]), 80)[0]
         missed += not (shown and kept)
     assert missed == 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="aAbÉé \t\n\x0b\x0c\r\x1c\xa0\x00.", max_size=30), st.integers(1, 5))
+def test_shingles_of_words_by_regex(text, width):
+    w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    n = min(width, len(w))
+    assert S.word_shingles(text, width) == ({tuple(x.encode() for x in w[i : i + n]) for i in range(len(w) - n + 1)} if n else set())
+
+
+def test_links_are_confirmed_on_words(spark, monkeypatch):
+    """Numbers that make all words equal link nothing that the words don't."""
+    monkeypatch.setattr(S, "linked", lambda a, b, percent: True)
+    a, b = S.word_shingles("one two three four five", 4), S.word_shingles("one two three four six", 4)
+    assert not S.linked_words(a, b, 80) and S.linked_words(a, set(a), 80)
+    rows = corpus(9, 10, 6)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, S.near_duplicates(df, width=4).collect()), key=str) == brute(rows, 4)

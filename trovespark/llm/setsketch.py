@@ -8,7 +8,8 @@ many steps of a factor b the smallest value lies below one, cut to 16 bits. Regi
 2. registers are cut into bands; classes that share a band's registers are candidates;
 3. a candidate pair's Jaccard is estimated from its registers jointly, by maximum likelihood over the numbers of larger,
    smaller and equal ones; clearly unlike pairs go;
-4. what is left is verified on full sets, and links make components.
+4. what is left is verified on full sets, first of the shingles' numbers, then of the words themselves, and links make
+   components.
 
 Buckets of up to `SMALL` classes are paired by a join. In larger ones (many near copies of one text) pairs are never
 rows. First each member is compared with its bucket's hub, the smallest id: that is linear, and links most of a group.
@@ -116,6 +117,23 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def word_shingles(text: str | None, width: int) -> set[tuple[bytes, ...]]:
+    """A text's distinct shingles as words, not numbers. Bytes are split and lowered in ASCII alone, as words are defined."""
+    found = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    return set(zip(*(found[i:] for i in range(min(width, len(found)))))) if found else set()
+
+
+def linked_words(a: set, b: set, percent: int) -> bool:
+    """Whether two sets of shingles reach the threshold, exactly."""
+    both = len(a & b)
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def set_name(text: str | None, width: int) -> bytes:
+    """A digest of a text's set of shingles, as words."""
+    return xxhash.xxh3_128_digest(b"\n".join(sorted(map(b" ".join, word_shingles(text, width)))))
+
+
 def _sets(texts: list[str | None], width: int) -> list[np.ndarray]:
     numbers, starts = word_numbers([t or "" for t in texts])
     return [shingles(numbers[a:b], width) for a, b in zip(starts, starts[1:])]
@@ -123,9 +141,10 @@ def _sets(texts: list[str | None], width: int) -> list[np.ndarray]:
 
 def _sketches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        found = _sets(batch.column(1).to_pylist(), width)
+        texts = batch.column(1).to_pylist()
+        found = _sets(texts, width)
         keys = [bands(registers(s)) if len(s) else [] for s in found]
-        names = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in found]
+        names = [set_name(t, width) if len(s) else None for s, t in zip(found, texts)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(names, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n", "set_id", "bands"])
 
 
@@ -133,14 +152,14 @@ def _full(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
     for batch in slices(batches):
         found = _sets(batch.column(1).to_pylist(), width)
         columns = [[len(s) for s in found], [registers(s).tobytes() for s in found], [s.tobytes() for s in found]]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.binary(), pa.binary())))], ["id", "n", "registers", "shingles"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.binary(), pa.binary()))), batch.column(1)], ["id", "n", "registers", "shingles", "text"])
 
 
 def _full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """id, n, registers, shingles of the documents with these ids, from their whole texts."""
+    """id, n, registers, shingles and text of the documents with these ids, from their whole texts."""
     few = ids.count() <= BROADCAST_IDS
     chosen = docs.join(F.broadcast(ids) if few else ids, docs.doc_id == ids.id, "left_semi")
-    return chosen.mapInArrow(lambda b: _full(b, width), "id bigint, n bigint, registers binary, shingles binary")
+    return chosen.mapInArrow(lambda b: _full(b, width), "id bigint, n bigint, registers binary, shingles binary, text string")
 
 
 def _rows(column: pa.Array, kind: type) -> np.ndarray:
@@ -154,13 +173,14 @@ def _screen(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(fits))
 
 
-def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _verify(batches: Iterator[pa.RecordBatch], percent: int, width: int) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, 2000):
         said = [linked(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), percent) for x, y in zip(batch.column(2), batch.column(3))]
+        said = [ok and linked_words(word_shingles(x.as_py(), width), word_shingles(y.as_py(), width), percent) for ok, x, y in zip(said, batch.column(4), batch.column(5))]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(said, pa.bool_()))
 
 
-def _compare(group: pd.DataFrame, percent: int) -> pd.DataFrame:
+def _compare(group: pd.DataFrame, percent: int, width: int) -> pd.DataFrame:
     """Links between the members of two blocks of a bucket: enough to connect what the pairs dealt with here connect.
 
     What verified links connect comes as a star around its smallest id, so that the buckets of one group of copies give
@@ -188,7 +208,7 @@ def _compare(group: pd.DataFrame, percent: int) -> pd.DataFrame:
         likeness = estimate((x > y).sum(1).astype(float), (x < y).sum(1).astype(float), np.full(len(others), float(size[i])), size[others].astype(float))
         keep = likeness >= floor
         found += zip(-likeness[keep], np.full(keep.sum(), i), others[keep])
-    sets = [np.frombuffer(s, np.uint64) for s in group.shingles]
+    sets, texts = [np.frombuffer(s, np.uint64) for s in group.shingles], group.text.tolist()
     root = pd.Series(range(len(group))).groupby(component).transform("first").tolist()  # what is connected already
 
     def top(i: int) -> int:
@@ -199,7 +219,7 @@ def _compare(group: pd.DataFrame, percent: int) -> pd.DataFrame:
 
     before = [top(i) for i in range(len(group))]
     for _, i, j in sorted(found):
-        if top(i) != top(j) and linked(sets[i], sets[j], percent):
+        if top(i) != top(j) and linked(sets[i], sets[j], percent) and linked_words(word_shingles(texts[i], width), word_shingles(texts[j], width), percent):
             i, j = top(i), top(j)
             root[max(i, j)] = min(i, j)
     out = [(ids[top(i)], ids[i]) for i in range(len(ids)) if top(i) != i and before[i] == i]
@@ -231,7 +251,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     one = named.join(own, (named.doc_id == own.rep) & (named.set_id == own.set_id)).select("rep", "n", "bands").distinct()
     keys = materialise(one.select("rep", "n", F.posexplode("bands").alias("band", "key")), "bands")
     keys_by = keys.repartition("key")  # dealt once, for the counts and for the rows that they pick
-    shared = keys_by.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.sum(F.col("n") * 8 + REGISTERS * 2).alias("bytes")).where("many > 1")
+    shared = keys_by.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.sum(F.col("n") * 16 + REGISTERS * 2).alias("bytes")).where("many > 1")
     buckets = materialise(keys_by.join(shared, "key").select(F.col("rep").alias("id"), "band", "key", "many", "bytes"), "buckets")
     release(keys)
     sets = materialise(_full_sets(rows, buckets.select("id").distinct(), width), "sets")
@@ -242,7 +262,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     hubs = large.groupBy("key").agg(F.min("id").alias("a"))
     spokes = large.join(hubs, "key").where("id != a").select("a", F.col("id").alias("b"))
     hopes = _paired(pairs.union(spokes).distinct(), sets, "registers", "n").mapInArrow(lambda b: _screen(b, percent), "a bigint, b bigint")
-    found = _paired(hopes, sets, "shingles").mapInArrow(lambda b: _verify(b, percent), "a bigint, b bigint")
+    found = _paired(hopes, sets, "shingles", "text").mapInArrow(lambda b: _verify(b, percent, width), "a bigint, b bigint")
     several = member.groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
     same = member.join(several, "doc_id").select(F.col("low").alias("a"), F.col("rep").alias("b"))
     early = components(found.union(same))
@@ -253,7 +273,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     rest = named_large.join(mixed_keys, "key").withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rest = rest.select("key", "band", "id", "component", "block", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second")).join(sets, "id")
-    more = rest.groupBy("key", "first", "second").applyInPandas(lambda g: _compare(g, percent), "a bigint, b bigint")
+    more = rest.groupBy("key", "first", "second").applyInPandas(lambda g: _compare(g, percent, width), "a bigint, b bigint")
     joined = components(early.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     release(buckets, sets, early)
     labels = member.select("doc_id", "rep").groupBy("doc_id").agg(F.min("rep").alias("rep"))
