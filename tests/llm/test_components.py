@@ -31,3 +31,10 @@ def test_random_chains_stars_and_repeats(spark, seed):
 
 def test_no_links(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_odd_links(spark):
+    rows = [(1, 2, 9), (2, 1, 9), (2, 2, 9), (None, 3, 9), (4, None, 9), (2, 5, 9), (2, 5, 9)]
+    got = components(spark.createDataFrame(rows, "a long, b long, A long"))
+    assert {r.node: r.component for r in got.collect()} == {2: 1, 5: 1}
+    release(got)

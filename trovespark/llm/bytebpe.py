@@ -274,5 +274,6 @@ def decode_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
-    """doc_id and the bytes that `ids` stand for; null ids give no bytes."""
+    """doc_id and the bytes that `ids` stand for; null ids give no bytes. Repeated rows give repeated rows, an empty table
+    none; other columns are left out whatever their names. An id beyond the vocabulary is an error."""
     return pick(encoded, doc_id="bigint", ids="array<int>").mapInArrow(lambda batches: decode_batches(batches, ranks_path), "doc_id bigint, bytes binary")

@@ -9,12 +9,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from trovespark.frames import materialise, release
+from trovespark.frames import materialise, pick, release
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node and component (its smallest node) for every node that a link (a, b) joins to another; a table to release."""
-    now = materialise(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "links")
+    """node and component (its smallest node) for every node that a link (a, b) joins to another; a table to release.
+
+    Repeated links, links both ways and links of a node to itself count once, once and not; links with a null are left out.
+    An empty table gives none; other columns are left out whatever their names.
+    """
+    pairs = pick(links, a="bigint", b="bigint").where("a != b")
+    now = materialise(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     before = None
     while (state := now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()) != before:
         before = state

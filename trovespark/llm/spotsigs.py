@@ -181,7 +181,9 @@ def near_pairs(docs: DataFrame, threshold: float = 0.8) -> tuple[DataFrame, Data
     A class is all documents with equal fingerprints, named by its smallest doc_id; documents without a signature are in
     none. Lengths are partitioned so that one partition's longest is below its shortest over the threshold: a set meets
     its own partition and the next. Of a set of n signatures the n - ceil(threshold n) + 1 rarest are looked up, for two
-    sets that reach the threshold share one of those.
+    sets that reach the threshold share one of those; equally rare ones go by their numbers. Rows with a null id take no
+    part, a null text counts as empty, repeated rows are one member each. An empty table gives two empty ones; other columns
+    are left out whatever their names.
     """
     prints = materialise(fingerprints(docs).where("doc_id is not null and size(signatures) > 0").select("doc_id", "signatures"), "spotsigs")
     classes = materialise(prints.groupBy("signatures").agg(F.min("doc_id").alias("class")), "spotsig-classes")
