@@ -81,11 +81,16 @@ def test_words_in_names_of_article_blocks_do_not_delete_them():
     for name in ("related-work", "social-history", "search-results", "share-prices", "reply-letter", "notice"):
         page = f'<html><body><nav>menu</nav><article><h1>Head</h1><div class="{name}"><p>{PARAGRAPH}</p></div></article></body></html>'
         assert Page(page).text() == f"Head {PARAGRAPH}", name
-    for name in ("share", "related", "sidebar-left", "site-footer", "cookie-notice", "ad top", "comments"):
+    for name in ("share", "related", "sidebar-left", "site-footer", "cookie-notice", "ad top", "comments", "user-comments", "related-posts", "share-buttons"):
         page = f'<html><body><article><h1>Head</h1><p>{PARAGRAPH}</p><div class="{name}"><p>Other</p></div></article><div class="{name}">Else</div></body></html>'
         assert Page(page).text() == f"Head {PARAGRAPH}", name
 
 
+def test_names_of_what_stands_beside():
+    for name in ("has-sidebar", "no-footer", "with-comments", "menu-du-jour", "search-results", "ad-hoc"):
+        assert not htmltext.names_a_side_block(name), name
+
+
 def test_teaser_articles_are_not_the_page():
     page = f"<html><body><header><p>Site</p></header><div><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div><article>Read more</article></body></html>"
     assert Page(page).text() == f"{PARAGRAPH} {PARAGRAPH} Read more"

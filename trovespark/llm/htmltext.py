@@ -4,8 +4,8 @@ A page is read once into a flat list of elements and texts. Every block-level el
 children's hashes). Spark counts, for each host, on how many different pages each subtree stands; subtrees on many pages
 of a host are its template and are deleted from all its pages. Pages with equal bodies count once, so that copies of a
 page don't make a template of its article. Elements that say what they are (navigation, forms, adverts by class, ...) go
-too, as one page is enough to tell: by their tag or role, or by a class or id that is such a name as a whole ('related' or
-'sidebar-left', not 'related-work'). Inside a marked article prose goes only when it recurs on `PROSE_TIMES` as many pages,
+too, as one page is enough to tell: by their tag or role, or by a class or id ('user-comments', 'sidebar', 'related-posts',
+but not 'related-work'). Inside a marked article prose goes only when it recurs on `PROSE_TIMES` as many pages,
 for texts quote each other; and a named block that holds most of the article is the article. A marked article that holds
 less text than the page around it is a teaser, and the whole page is taken.
 """
@@ -36,11 +36,12 @@ PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th tr tbody ta
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 DROPPED = frozenset("head nav footer aside form button menu dialog label fieldset".split()) | (RAW - {"math"})
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer disqus footer gdpr login menu modal nav navbar navigation newsletter notice notices pager pagination paywall popup promo promotion recommended related reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget".split()
-)
-#: Words that a name may have beside it without meaning something else, as in 'sidebar-left' or 'site-footer'.
-BESIDE = frozenset("area bar block bottom box btn button buttons col column container content footer form foot global group header head inner item items left links list main main outer page panel primary right row secondary section site slot sticky text thread top unit wrap wrapper".split())
+NAMES = frozenset("adv advert adverts advertisement advertising breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr modal nav navbar navigation newsletter pager pagination paywall popup promo promotion sharing sidebar signup sponsored subscribe toolbar".split())
+#: Names that mean this only alone or with words that add nothing, as in 'share-buttons' (but 'share-prices' does not).
+WEAK_NAMES = frozenset("ad ads banner disclaimer login menu notice notices recommended related reply respond search share skip social sponsor subscription widget".split())
+BESIDE = frozenset("area articles bar block bottom box btn button buttons col column container content follow form global group header head icons inner item items left links list main media outer page panel posts primary reading right row secondary section site slot sticky stories text this thread top unit us widgets wrap wrapper".split())
+#: Words that say an element stands beside such a block, as in 'has-sidebar'.
+NOT_IT = frozenset("has no with without".split())
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
 END_OR_QUOTE = re.compile(r"[>\"']")
@@ -57,9 +58,11 @@ PROSE_TIMES = 4
 
 @cache
 def names_a_side_block(name: str) -> bool:
-    """Whether a class or id as a whole names what isn't an article: one of `NAMES`, alone or with words that add nothing."""
-    words = [w for w in re.split(r"[^a-z]+", name) if len(w) > 1]
-    return any(w in NAMES for w in words) and all(w in NAMES or w in BESIDE for w in words)
+    """Whether a class or id names what isn't an article: by a word that means nothing else, or by a weaker one as a whole."""
+    words = {w for w in re.split(r"[^a-z]+", name) if len(w) > 1}
+    if words & NOT_IT:
+        return False
+    return bool(words & NAMES) or bool(words & WEAK_NAMES) and words <= WEAK_NAMES | BESIDE
 
 
 class Page:
