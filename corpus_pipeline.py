@@ -41,7 +41,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     rows = pick(docs, **COLUMNS)
     gone = setsketch.near_duplicates(rows, width=5, percent=80).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return rows.join(gone, rows.doc_id == gone._gone, "left_anti")
+    return rows.join(setsketch.sized(gone), rows.doc_id == gone._gone, "left_anti")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

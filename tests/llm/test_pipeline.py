@@ -5,7 +5,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
-from trovespark.llm import bytebpe, mixing, pii
+from trovespark.llm import bytebpe, mixing, pii, setsketch
 
 LIB = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bytebpe.read_ranks(P.path("byte_bpe_50k.tiktoken")), special_tokens={})
 
@@ -85,3 +85,24 @@ def test_stage_ignores_columns_that_clash(spark, stage):
     plain = key(stage[1](spark, df, "").collect())
     odd = df.selectExpr("*", "'other' as TEXT", "7 as Doc_Id", "'zz' as Lang", "'none' as SOURCE")
     assert key(stage[1](spark, odd, "").collect()) == plain and len(plain) > 0
+
+
+def test_texts_are_not_dealt_to_leave_out_a_few_ids(spark, monkeypatch):
+    """What goes is broadcast by its number of rows, whatever Spark estimates; above the bound the same rows stay."""
+    rows = [(i, f"the water of the house and people by name{i // 3} or number{i // 3} at last", "en", "s", 0) for i in range(60)]
+    rows += [(None, rows[0][1], "en", "s", 0), (4, rows[4][1], "en", None, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = []
+        for bound in (1000, 10):
+            monkeypatch.setattr(setsketch, "BROADCAST_IDS", bound)
+            made = corpus_pipeline.near_duplicates(spark, df, "")
+            plan = made._jdf.queryExecution().executedPlan().toString()
+            assert ("SortMergeJoin" in plan) == (bound == 10)
+            found.append(sorted(map(str, made.collect())))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    kept = [(i, t) for i, t, *_ in rows if i is None or i % 3 == 0]
+    assert found[0] == found[1] and len(found[0]) == len(kept)

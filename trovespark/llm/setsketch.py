@@ -42,7 +42,7 @@ BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
 DEVIATIONS = 4.0
 SMALL = 8
 BLOCK_BYTES = 24 << 20
-#: Ids up to this many are broadcast to fetch their documents; more are joined by shuffle.
+#: Ids up to this many are broadcast to fetch their documents, or leave them out; more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
 
 
@@ -155,10 +155,15 @@ def _full(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.binary(), pa.binary()))), batch.column(1)], ["id", "n", "registers", "shingles", "text"])
 
 
+def sized(ids: DataFrame) -> DataFrame:
+    """The same ids, marked for broadcast unless they are many. Spark's own estimate goes by bytes, so that a slightly larger
+    table would have all the texts it is joined to dealt anew."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def _full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """id, n, registers, shingles and text of the documents with these ids, from their whole texts."""
-    few = ids.count() <= BROADCAST_IDS
-    chosen = docs.join(F.broadcast(ids) if few else ids, docs.doc_id == ids.id, "left_semi")
+    chosen = docs.join(sized(ids), docs.doc_id == ids.id, "left_semi")
     return chosen.mapInArrow(lambda b: _full(b, width), "id bigint, n bigint, registers binary, shingles binary, text string")
 
 
